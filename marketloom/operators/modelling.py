@@ -80,13 +80,23 @@ def correlated_pairs(df: DataFrame, columns: Sequence[str], threshold: float = C
 # --- relation to the target ------------------------------------------------------------------------------------------
 
 
+def _with_target(df: DataFrame, columns: Sequence[str], target: str) -> DataFrame:
+    """One row per (column, row): its value ``x`` and the target ``y``. Grouped right after, so nothing large moves."""
+    pairs = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("x")) for c in columns])
+    return df.select(F.col(target).cast("double").alias("y"), F.inline(pairs))
+
+
+def pearson(x: str, y: str):
+    """Correlation over the rows that have both values; null, not an error, if one of them does not vary."""
+    both = F.col(x).isNotNull() & F.col(y).isNotNull()
+    spread = F.stddev_pop(F.when(both, F.col(x))) * F.stddev_pop(F.when(both, F.col(y)))
+    return F.try_divide(F.covar_pop(x, y), spread)
+
+
 def target_correlation(df: DataFrame, columns: Sequence[str], target: str = TARGET) -> DataFrame:
-    """(column, correlation) with the target over the rows that have both; all columns in one scan."""
-    y = F.col(target).cast("double")
-    stats = df.agg(*[F.corr(F.col(c).cast("double"), y).alias(f"r_{i}") for i, c in enumerate(columns)])
-    return profiling.unpivot(stats, {c: [F.col(f"r_{i}")] for i, c in enumerate(columns)}, ["correlation"]).where(
-        F.col("correlation").isNotNull() & ~F.isnan("correlation")
-    )
+    """(column, correlation) with the target over the rows that have both; columns without one are left out."""
+    found = _with_target(df, columns, target).groupBy("column").agg(pearson("x", "y").alias("correlation"))
+    return found.where(F.col("correlation").isNotNull() & ~F.isnan("correlation"))
 
 
 def strongest(correlations: DataFrame, k: int = 10) -> DataFrame:
@@ -95,21 +105,9 @@ def strongest(correlations: DataFrame, k: int = 10) -> DataFrame:
 
 def target_identity(df: DataFrame, columns: Sequence[str], target: str = TARGET) -> DataFrame:
     """Columns that equal the target on every row, or follow it almost perfectly."""
-    y = F.col(target)
-    stats = df.agg(
-        *[
-            e.alias(f"{k}_{i}")
-            for i, c in enumerate(columns)
-            for k, e in (
-                ("same", F.bool_and(F.col(c).eqNullSafe(y)).cast("int")),
-                ("r", F.corr(F.col(c).cast("double"), y.cast("double"))),
-            )
-        ]
-    )
-    cells = {c: [F.col(f"same_{i}"), F.col(f"r_{i}")] for i, c in enumerate(columns)}
-    return profiling.unpivot(stats, cells, ["identical", "correlation"]).where(
-        (F.col("identical") == 1) | (F.col("correlation") > IDENTICAL)
-    )
+    same = F.bool_and(F.col("x").eqNullSafe(F.col("y"))).cast("int").alias("identical")
+    found = _with_target(df, columns, target).groupBy("column").agg(same, pearson("x", "y").alias("correlation"))
+    return found.where((F.col("identical") == 1) | (F.col("correlation") > IDENTICAL))
 
 
 def leakage_columns(df: DataFrame, columns: Sequence[str], target: str = TARGET, threshold: float = LEAKING) -> DataFrame:

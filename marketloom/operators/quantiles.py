@@ -1,9 +1,10 @@
 """Exact quantiles without gathering the values of a column.
 
-``percentile`` keeps a map of all distinct values of a column in one task. It is used for columns whose number of
-distinct values has been checked. For the others a sketch (``percentile_approx``) proposes cut points near the wanted
-rank, one scan counts the rows below and at every cut point, and the open interval that holds the rank is narrowed again
-until few enough rows are left to look at. Each step keeps about one row in a thousand and shuffles sketches only.
+A column whose number of distinct values is small (checked, not assumed) is counted per value; the place of a rank then
+follows from a running sum over the distinct values. For the others a sketch (``percentile_approx``) proposes cut points
+near the wanted rank, one scan counts the rows below and at every cut point, and the open interval that holds the rank is
+narrowed again until few enough rows are left to look at. Each step keeps about one row in a thousand and shuffles
+sketches only.
 """
 
 from __future__ import annotations
@@ -11,7 +12,7 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 MAX_DISTINCT = 100_000
@@ -62,27 +63,33 @@ class _Rank:
             raise RuntimeError(f"no progress in the quantile search on {self.column}")
 
 
-def _search(df: DataFrame, ranks: list[_Rank]) -> None:
-    while True:
-        open_ranks = [r for r in ranks if r.value is None and r.left > MAX_ROWS_LEFT]
-        if not open_ranks:
-            break
-        shares = [r.cut_shares() for r in open_ranks]
-        row = df.agg(
-            *[F.percentile_approx(r.inside(), s, _ACCURACY).alias(f"q{i}") for i, (r, s) in enumerate(zip(open_ranks, shares))]
-        ).first()
-        cuts = [sorted(set(row[f"q{i}"])) for i in range(len(open_ranks))]
-        counts = df.agg(
-            *[
-                F.count(F.when(test, 1)).alias(f"c{i}_{j}_{kind}")
-                for i, r in enumerate(open_ranks)
-                for j, cut in enumerate(cuts[i])
-                for kind, test in (("lt", r.inside() < cut), ("le", r.inside() <= cut))
-            ]
-        ).first()
-        for i, r in enumerate(open_ranks):
+def _narrow_all(df: DataFrame, ranks: list[_Rank]) -> None:
+    """One round: ranks that share column and interval share one sketch and its cut points."""
+    together: dict[tuple, list[_Rank]] = {}
+    for r in ranks:
+        together.setdefault((r.column, r.low, r.high), []).append(r)
+    sets = list(together.values())
+    shares = [sorted({x for r in same for x in r.cut_shares()}) for same in sets]
+    row = df.agg(
+        *[F.percentile_approx(same[0].inside(), x, _ACCURACY).alias(f"q{i}") for i, (same, x) in enumerate(zip(sets, shares))]
+    ).first()
+    cuts = [sorted(set(row[f"q{i}"])) for i in range(len(sets))]
+    counts = df.agg(
+        *[
+            F.count(F.when(test, 1)).alias(f"c{i}_{j}_{kind}")
+            for i, same in enumerate(sets)
+            for j, cut in enumerate(cuts[i])
+            for kind, test in (("lt", same[0].inside() < cut), ("le", same[0].inside() <= cut))
+        ]
+    ).first()
+    for i, same in enumerate(sets):
+        for r in same:
             r.narrow([(c, counts[f"c{i}_{j}_lt"], counts[f"c{i}_{j}_le"]) for j, c in enumerate(cuts[i])])
 
+
+def _search(df: DataFrame, ranks: list[_Rank]) -> None:
+    while open_ranks := [r for r in ranks if r.value is None and r.left > MAX_ROWS_LEFT]:
+        _narrow_all(df, open_ranks)
     last = [r for r in ranks if r.value is None]
     if not last:
         return
@@ -104,6 +111,24 @@ def _search(df: DataFrame, ranks: list[_Rank]) -> None:
                 break
 
 
+def _count_values(df: DataFrame, ranks: dict[str, list[int]]) -> dict[tuple[str, int], float]:
+    """The values at the given ranks of columns with few distinct values."""
+    columns = list(ranks)
+    pairs = F.array(*[F.struct(F.lit(i).alias("slot"), F.col(c).alias("value")) for i, c in enumerate(columns)])
+    wanted = F.array(*[F.array(*[F.lit(r).cast("long") for r in ranks[c]]) for c in columns])
+    counts = (
+        df.select(F.inline(pairs))
+        .where(F.col("value").isNotNull())
+        .groupBy("slot", "value")
+        .agg(F.count(F.lit(1)).alias("rows"))
+        .withColumn("upto", F.sum("rows").over(Window.partitionBy("slot").orderBy("value")))
+        .withColumn("ranks", F.element_at(wanted, F.col("slot") + 1))
+    )
+    hit = lambda r: (r < F.col("upto")) & (r >= F.col("upto") - F.col("rows"))
+    found = counts.select("slot", "value", F.explode(F.filter("ranks", hit)).alias("rank")).collect()
+    return {(columns[f["slot"]], f["rank"]): f["value"] for f in found}
+
+
 def exact_quantiles(
     df: DataFrame, columns: Sequence[str], shares: Sequence[float], max_distinct: int = MAX_DISTINCT
 ) -> dict[str, list[float | None]]:
@@ -114,28 +139,23 @@ def exact_quantiles(
     df = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
     row = df.agg(
         *[F.count(c).alias(f"n_{c}") for c in columns],
-        *[F.approx_count_distinct(c, 0.02).alias(f"d_{c}") for c in columns],
+        *[F.approx_count_distinct(c).alias(f"d_{c}") for c in columns],
     ).first()
+    places = {c: [share * (row[f"n_{c}"] - 1) for share in shares] for c in columns if row[f"n_{c}"]}
+    ranks = {c: sorted({k for p in ps for k in (math.floor(p), math.ceil(p))}) for c, ps in places.items()}
+
+    few = {c: r for c, r in ranks.items() if row[f"d_{c}"] <= max_distinct}
+    values = _count_values(df, few) if few else {}
+    searches = [_Rank(c, k, row[f"n_{c}"]) for c, r in ranks.items() if c not in few for k in r]
+    if searches:
+        _search(df, searches)
+        values.update({(r.column, r.rank): r.value for r in searches})
+
     result: dict[str, list[float | None]] = {c: [None] * len(shares) for c in columns}
-    filled = [c for c in columns if row[f"n_{c}"]]
-    few = [c for c in filled if row[f"d_{c}"] <= max_distinct]
-    if few:
-        found = df.agg(*[F.percentile(c, F.array(*map(F.lit, shares))).alias(c) for c in few]).first()
-        result.update({c: list(found[c]) for c in few})
-    many = [c for c in filled if c not in few]
-    if many:
-        ranks: dict[tuple[str, int], _Rank] = {}
-        for c in many:
-            for share in shares:
-                place = share * (row[f"n_{c}"] - 1)
-                for rank in {math.floor(place), math.ceil(place)}:
-                    ranks.setdefault((c, rank), _Rank(c, rank, row[f"n_{c}"]))
-        _search(df, list(ranks.values()))
-        for c in many:
-            for k, share in enumerate(shares):
-                place = share * (row[f"n_{c}"] - 1)
-                low, high = ranks[c, math.floor(place)].value, ranks[c, math.ceil(place)].value
-                result[c][k] = low + (high - low) * (place - math.floor(place))
+    for c, ps in places.items():
+        for i, p in enumerate(ps):
+            low, high = values[c, math.floor(p)], values[c, math.ceil(p)]
+            result[c][i] = low + (high - low) * (p - math.floor(p))
     return result
 
 
