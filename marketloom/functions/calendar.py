@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -12,9 +14,19 @@ DATE_FORMATS = ["yyyy-M-d", "d/M/yyyy", "M/d/yyyy", "yyyy/M/d"]
 WEEKDAYS = ["Monday", "Tuesday", "Wednesday", "Thursday", "Friday", "Saturday", "Sunday"]
 
 
+def shape(fmt: str) -> str:
+    """What text in a date format looks like, as a regular expression."""
+    digits = {"yyyy": r"\d{4}", "M": r"\d{1,2}", "d": r"\d{1,2}"}
+    return "^" + re.sub("yyyy|M|d", lambda m: digits[m.group()], fmt) + "$"
+
+
 def parse_date(column: Column | str, fmt: str) -> Column:
-    """Timestamp at midnight of the date written in ``fmt``, null for other text; needs no time zone."""
-    return F.try_to_date(column, fmt).cast("timestamp_ntz")
+    """Timestamp at midnight of the date written in ``fmt``, null for other text; needs no time zone.
+
+    Text of another shape is sorted out first: a failing parse costs far more than a pattern match.
+    """
+    value = F.col(column) if isinstance(column, str) else column
+    return F.when(value.rlike(shape(fmt)), F.try_to_date(value, fmt)).cast("timestamp_ntz")
 
 
 def iso_year(column: Column | str) -> Column:

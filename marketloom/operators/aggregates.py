@@ -156,7 +156,8 @@ def category_view(df: DataFrame) -> DataFrame:
     return df.where(has_group(["category"])).groupBy("category").agg(*_view_measures())
 
 
-def customer_view(df: DataFrame) -> DataFrame:
+def customer_view(df: DataFrame, *more: Column) -> DataFrame:
+    """Spending and first and last purchase per customer, and any further measures."""
     return (
         df.where(has_group([CUSTOMER]))
         .groupBy(CUSTOMER)
@@ -166,6 +167,7 @@ def customer_view(df: DataFrame) -> DataFrame:
             F.count(AMOUNT).alias("transaction_count"),
             F.min(DATE).alias("first_purchase"),
             F.max(DATE).alias("last_purchase"),
+            *more,
         )
     )
 
@@ -205,9 +207,8 @@ def preferences(df: DataFrame, columns: dict[str, str] | None = None) -> DataFra
 def customer_summary(df: DataFrame) -> DataFrame:
     """The customer view with days active, recency, mean items per transaction and preferences."""
     last = df.agg(F.max(F.to_date(DATE))).first()[0]
-    base = customer_view(df)
-    items = df.where(has_group([CUSTOMER])).groupBy(CUSTOMER).agg(amounts.mean("quantity").alias("avg_items"))
-    out = base.join(items, CUSTOMER).join(preferences(df), CUSTOMER, "left")
+    base = customer_view(df, amounts.mean("quantity").alias("avg_items"))
+    out = base.join(preferences(df), CUSTOMER, "left")
     return out.withColumns(
         {
             "days_active": F.datediff("last_purchase", "first_purchase"),

@@ -62,7 +62,7 @@ def choose_date_formats(
         return {}
     hits = df.agg(
         *[
-            F.max(F.try_to_date(F.col(c).cast("string"), f).isNotNull()).alias(f"{i}_{j}")
+            F.max(calendar.parse_date(F.col(c).cast("string"), f).isNotNull()).alias(f"{i}_{j}")
             for i, c in enumerate(columns)
             for j, f in enumerate(formats)
         ]

@@ -14,11 +14,22 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+# Below this size per core a table may sit in one row group, which one task would read and process alone.
+_SMALL = 16 * 1024 * 1024
+
+
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Spread a small table over all cores by its key; a table with enough files for all cores is left as it is."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return df.repartition(cores, key) if size < cores * _SMALL else df
+
+
 def sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per line item, with made-up gender and age per customer."""
     customer, price, quantity = F.col("o_custkey"), F.col("l_extendedprice"), F.col("l_quantity")
     return (
-        table(spark, sf_dir, "lineitem")
+        spread(table(spark, sf_dir, "lineitem"), "l_orderkey")
         .join(table(spark, sf_dir, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
         .join(table(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey"))
         .join(table(spark, sf_dir, "supplier"), F.col("l_suppkey") == F.col("s_suppkey"))
