@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-GROUPS = ["aggregates", "cleaning", "features", "profiling", "sources", "models", "streaming"]
+GROUPS = ["aggregates", "cleaning", "features", "profiling", "sources", "batch", "models", "streaming"]
 
 
 def _merged(name: str) -> dict:
