@@ -142,21 +142,35 @@ def split(df: DataFrame, keys: Sequence[str], percent: int = TRAIN_PERCENT, seed
 
 
 def estimator(kind: str, target: str = TARGET, **settings):
-    """``linear``, ``forest`` or ``boosting``. Trees of the forest are limited to depth 10, which settings can change."""
+    """``linear``, ``forest`` or ``boosting``.
+
+    The forest looks at all features in every split, like the reference's. Its trees are limited to depth 10, which
+    settings can change; ``maxMemoryInMB`` lets one scan of the data grow more nodes.
+    """
     base = {"featuresCol": FEATURES, "labelCol": target, "predictionCol": PREDICTION}
     if kind == "linear":
         return LinearRegression(**{**base, **settings})
     if kind == "forest":
-        return RandomForestRegressor(**{**base, "numTrees": TREES, "maxDepth": 10, "seed": SEED, **settings})
+        forest = {"numTrees": TREES, "maxDepth": 10, "featureSubsetStrategy": "all", "maxMemoryInMB": 1024, "seed": SEED}
+        return RandomForestRegressor(**{**base, **forest, **settings})
     if kind == "boosting":
         return GBTRegressor(**{**base, **BOOSTING, "seed": SEED, **settings})
     raise ValueError(f"unknown model: {kind}")
 
 
+def fit(kind: str, train: DataFrame, features: Sequence[str], target: str = TARGET, **settings):
+    return estimator(kind, target, **settings).fit(assemble(train, features).select(FEATURES, target))
+
+
+def predict(model, df: DataFrame, features: Sequence[str]) -> DataFrame:
+    """The rows with ``prediction``."""
+    return model.transform(assemble(df, features)).drop(FEATURES)
+
+
 def fit_predict(kind: str, train: DataFrame, test: DataFrame, features: Sequence[str], target: str = TARGET, **settings):
     """(fitted model, test rows with ``prediction``)."""
-    model = estimator(kind, target, **settings).fit(assemble(train, features).select(FEATURES, target))
-    return model, model.transform(assemble(test, features)).drop(FEATURES)
+    model = fit(kind, train, features, target, **settings)
+    return model, predict(model, test, features)
 
 
 def regression_metrics(df: DataFrame, label: str = TARGET, prediction: str = PREDICTION) -> DataFrame:

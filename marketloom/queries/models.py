@@ -41,11 +41,27 @@ def _prepared(s, d):
     return table, [c for c in m.feature_columns(table, exclude=KEYS) if c not in constant]
 
 
+_trained: dict[tuple, object] = {}
+
+
+def _fit(s, d):
+    """Training as in the library, but a model that a query before has trained is used again."""
+
+    def fit(kind, train, features):
+        key = (s.sparkContext.applicationId, d, kind, tuple(features))
+        if key not in _trained:
+            _trained[key] = m.fit(kind, train, features)
+        return _trained[key]
+
+    return fit
+
+
 def _model(s, d, kind):
     df, features = _prepared(s, d)
     train, test = m.split(df, KEYS)
     kept, _ = m.clean_features(train, features)
-    return (*m.fit_predict(kind, train, test, kept), kept)
+    model = _fit(s, d)(kind, train, kept)
+    return model, m.predict(model, test, kept), kept
 
 
 def _scored(kind):
@@ -104,7 +120,7 @@ def _metrics(s, d):
 def _comparison(s, d):
     df, features = _prepared(s, d)
     plan = [("original", "linear"), ("original", "forest"), ("clean", "linear"), ("clean", "forest"), ("clean", "boosting")]
-    return models.compare_models(df, KEYS, features, plan)
+    return models.compare_models(df, KEYS, features, plan, _fit(s, d))
 
 
 def _ranges(s, d):
