@@ -56,20 +56,15 @@ def remove_duplicates(
 def choose_date_formats(
     df: DataFrame, columns: Sequence[str], formats: Sequence[str] = calendar.DATE_FORMATS
 ) -> dict[str, str | None]:
-    """For each column the first format that parses at least one value; ``None`` if none does. One scan."""
-    columns = present(df, columns)
-    if not columns:
-        return {}
-    hits = df.agg(
-        *[
-            F.max(calendar.parse_date(F.col(c).cast("string"), f).isNotNull()).alias(f"{i}_{j}")
-            for i, c in enumerate(columns)
-            for j, f in enumerate(formats)
-        ]
-    ).first()
-    return {
-        c: next((f for j, f in enumerate(formats) if hits[f"{i}_{j}"]), None) for i, c in enumerate(columns)
-    }
+    """For each column the first format that parses at least one value; ``None`` if none does.
+
+    A format that fits is found after a few rows; only one that fits nowhere costs a scan of the column.
+    """
+
+    def fits(column: str, fmt: str) -> bool:
+        return not df.where(calendar.parse_date(F.col(column).cast("string"), fmt).isNotNull()).select(F.lit(1)).isEmpty()
+
+    return {c: next((f for f in formats if fits(c, f)), None) for c in present(df, columns)}
 
 
 def parse_dates(df: DataFrame, formats: dict[str, str | None]) -> DataFrame:
@@ -139,13 +134,18 @@ def coerce_types(df: DataFrame, types: dict[str, str], reference_nulls: bool = F
 # --- missing values --------------------------------------------------------------------------------------------------
 
 
-def sparse_columns(df: DataFrame, threshold: float = MISSING_THRESHOLD) -> list[str]:
-    """Columns whose share of missing values is strictly above the threshold."""
+def missing_shares(df: DataFrame) -> dict[str, float]:
+    """Share of missing values per column; one scan."""
     row = df.agg(
         amounts.row_count().alias("rows"),
         *[F.count(F.when(profiling.is_missing(df, c), 1)).alias(f"m{i}") for i, c in enumerate(df.columns)],
     ).first()
-    return [c for i, c in enumerate(df.columns) if row["rows"] and row[f"m{i}"] / row["rows"] > threshold]
+    return {c: row[f"m{i}"] / row["rows"] if row["rows"] else 0.0 for i, c in enumerate(df.columns)}
+
+
+def sparse_columns(df: DataFrame, threshold: float = MISSING_THRESHOLD) -> list[str]:
+    """Columns whose share of missing values is strictly above the threshold."""
+    return [c for c, share in missing_shares(df).items() if share > threshold]
 
 
 def drop_sparse_columns(df: DataFrame, threshold: float = MISSING_THRESHOLD) -> DataFrame:
@@ -201,29 +201,24 @@ def impute(
     numeric: Sequence[str] | None = None,
     other: Sequence[str] | None = None,
     exact: bool = True,
+    shares: dict[str, float] | None = None,
 ) -> DataFrame:
     """Fill numeric columns with median or mean and all others with the most frequent value.
 
-    ``auto`` and ``mode`` use the median for numbers. Only columns that miss something are looked at for the other type.
+    ``auto`` and ``mode`` use the median for numbers. Statistics are taken only of columns that miss something;
+    ``shares`` is the share of missing values per column, if known.
     """
     if strategy not in ("auto", "median", "mean", "mode"):
         raise ValueError(f"unknown strategy: {strategy}")
-    numeric = numeric_columns(df) if numeric is None else list(numeric)
+    numeric = numeric_columns(df) if numeric is None else present(df, numeric)
     other = other_columns(df) if other is None else present(df, other)
-    fills = numeric_fills(df, numeric, "mean" if strategy == "mean" else "median", exact)
-    gaps = columns_with_gaps(df, other)
-    modes = most_frequent(df, gaps)
+    shares = shares if shares is not None else missing_shares(df.select(*{*numeric, *other}))
+    gaps = {c for c, share in shares.items() if 0 < share < 1}
+    fills = numeric_fills(df, [c for c in numeric if c in gaps], "mean" if strategy == "mean" else "median", exact)
+    modes = most_frequent(df, [c for c in other if c in gaps])
     return fill_text(fill_numeric(df, numeric, fills), modes)
 
 
-def columns_with_gaps(df: DataFrame, columns: Sequence[str]) -> list[str]:
-    columns = present(df, columns)
-    if not columns:
-        return []
-    row = df.agg(*[F.max(profiling.is_missing(df, c)).alias(f"m{i}") for i, c in enumerate(columns)]).first()
-    return [c for i, c in enumerate(columns) if row[f"m{i}"]]
-
-
 def handle_missing(
     df: DataFrame,
     strategy: str = "auto",
@@ -235,7 +230,8 @@ def handle_missing(
     hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Drop sparse columns, then ``drop`` rows, fill (``auto``, ``median``, ``mean``, ``mode``) or ``forward_fill``."""
-    df = drop_sparse_columns(df, threshold)
+    shares = missing_shares(df)
+    df = df.drop(*[c for c, share in shares.items() if share > threshold])
     if strategy == "drop":
         return drop_null_rows(df)
     if strategy == "forward_fill":
@@ -243,7 +239,7 @@ def handle_missing(
             raise ValueError("forward_fill needs order columns")
         filled = [c for c in df.columns if c not in order and c not in groups]
         return forward_fill(profiling.nan_to_null(df), filled, order, groups, hot_rows)
-    return impute(df, strategy, None if numeric is None else present(df, numeric), exact=exact)
+    return impute(df, strategy, numeric, exact=exact, shares=shares)
 
 
 # --- outliers --------------------------------------------------------------------------------------------------------

@@ -8,6 +8,7 @@ from marketloom.operators import cleaning as c
 from marketloom.operators.ordering import forward_fill
 from marketloom.plans.cleaning import clean_sales, clean_table
 from marketloom.queries.fixtures import KEYS, ORDER, RAW_SQL, mean, on_raw, on_sales, raw_sales, sales
+from marketloom.session import durable
 
 SUBSET = ["customer_id", "category"]
 GAPS = ["age", "price"]
@@ -52,6 +53,24 @@ def _generic(spark, d):
     return _rounded(out, ["price", "age"])
 
 
+def _stored(s, d, *columns):
+    """Columns of the raw table as a stored table: operators that take statistics read their input more than once."""
+    return durable(raw_sales(s, d).select(*KEYS, *columns), "raw")
+
+
+def _impute(strategy):
+    def query(s, d):
+        raw = _stored(s, d, *GAPS)
+        return c.fill_numeric(raw, GAPS, c.numeric_fills(raw, GAPS, strategy))
+
+    return query
+
+
+def _impute_mode(s, d):
+    raw = _stored(s, d, "category", "loyalty_tier")
+    return c.fill_text(raw, c.most_frequent(raw, ["category", "loyalty_tier"]))
+
+
 QUERIES = {
     "dedup_all": lambda s, d: c.remove_duplicates(raw_sales(s, d)),
     "dedup_first": lambda s, d: c.remove_duplicates(sales(s, d), SUBSET, "first", ORDER),
@@ -63,15 +82,9 @@ QUERIES = {
     "coerce_types": _typed,
     "drop_sparse_columns": lambda s, d: c.drop_sparse_columns(raw_sales(s, d)),
     "drop_null_rows": lambda s, d: c.handle_missing(raw_sales(s, d), "drop"),
-    "impute_median": lambda s, d: c.fill_numeric(
-        raw_sales(s, d).select(*KEYS, *GAPS), GAPS, c.numeric_fills(raw_sales(s, d), GAPS, "median")
-    ),
-    "impute_mean": lambda s, d: c.fill_numeric(
-        raw_sales(s, d).select(*KEYS, *GAPS), GAPS, c.numeric_fills(raw_sales(s, d), GAPS, "mean")
-    ),
-    "impute_mode": lambda s, d: c.fill_text(
-        raw_sales(s, d).select(*KEYS, "category", "loyalty_tier"), c.most_frequent(raw_sales(s, d), ["category", "loyalty_tier"])
-    ),
+    "impute_median": _impute("median"),
+    "impute_mean": _impute("mean"),
+    "impute_mode": _impute_mode,
     "forward_fill": lambda s, d: forward_fill(
         raw_sales(s, d).select("customer_id", "age", "category", "price", *KEYS), ["age", "category", "price"], KEYS
     ),
@@ -82,9 +95,9 @@ QUERIES = {
         ["customer_id"],
     ),
     "outlier_iqr_cap": lambda s, d: _rounded(
-        c.handle_outliers(raw_sales(s, d).select(*KEYS, *CAPPED), CAPPED), CAPPED
+        c.handle_outliers(_stored(s, d, *CAPPED), CAPPED), CAPPED
     ),
-    "outlier_zscore": lambda s, d: c.flag_outliers(raw_sales(s, d).select(*KEYS, *CAPPED), CAPPED, "zscore"),
+    "outlier_zscore": lambda s, d: c.flag_outliers(_stored(s, d, *CAPPED), CAPPED, "zscore"),
     "derived_columns": lambda s, d: c.derived_columns(
         sales(s, d).select(*KEYS, "price", "quantity", "invoice_date")
     ),

@@ -8,6 +8,7 @@ from marketloom.operators import cleaning as c
 from marketloom.operators import profiling as p
 from marketloom.queries.fixtures import KEYS, ORDER, mean, money, on_raw, on_sales, raw_sales, sales
 from marketloom.schema import RAW_SALES
+from marketloom.session import durable
 
 NUMERIC = ["age", "quantity", "price"]
 TEXT = ["gender", "category", "payment_method", "shopping_mall", "loyalty_tier"]
@@ -23,18 +24,18 @@ def _finite(s, d):
 
 
 def _describe(s, d):
-    out = p.describe_numeric(raw_sales(s, d), NUMERIC)
+    out = p.describe_numeric(durable(raw_sales(s, d).select(*NUMERIC), "raw"), NUMERIC)
     return out.withColumn("std", F.round("std", 2)).withColumns({q: F.round(q, 4) for q in ("p25", "p50", "p75")})
 
 
 def _report(s, d):
-    raw = raw_sales(s, d).select(*KEYS, *WITH_GAPS)
+    raw = durable(raw_sales(s, d).select(*KEYS, *WITH_GAPS), "raw")
     after = c.handle_missing(c.remove_duplicates(raw), "auto", numeric=["age", "price"])
     return p.cleaning_report(raw, after, c.outlier_report(raw, ["age", "price"]))
 
 
 def _change(s, d):
-    raw = raw_sales(s, d).select(*KEYS, *WITH_GAPS)
+    raw = durable(raw_sales(s, d).select(*KEYS, *WITH_GAPS), "raw")
     return p.missing_change(raw, c.handle_missing(raw, "auto", numeric=["age", "price"]))
 
 
@@ -49,7 +50,7 @@ QUERIES = {
     "sales_metrics": lambda s, d: p.sales_metrics(sales(s, d)),
     "finite_check": _finite,
     "cleaning_report": _report,
-    "outlier_report": lambda s, d: c.outlier_report(raw_sales(s, d), NUMERIC),
+    "outlier_report": lambda s, d: c.outlier_report(durable(raw_sales(s, d).select(*NUMERIC), "raw"), NUMERIC),
     "sample_rows": lambda s, d: p.sample_rows(sales(s, d), 1000, ORDER),
 }
 
