@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from marketloom.session import durable
 
-HOT_ROWS = 1_000_000
+HOT_ROWS = 500_000
 MAX_SEGMENTS = 20_000
 MAX_HOT_GROUPS = 100_000
 _NULL_SPREAD = 4096
@@ -76,7 +76,8 @@ def hot_groups(df: DataFrame, groups: Sequence[str], hot_rows: int) -> tuple[Dat
 
 def segmented(df: DataFrame, groups: Sequence[str], order: Sequence[str], rows: int, hot_rows: int) -> DataFrame:
     """``df`` range-partitioned by (group, order), written out, with the segment number of every row."""
-    count = max(2, min(MAX_SEGMENTS, -(-rows // hot_rows)))
+    # An eighth of what one task may take, so that the segments spread evenly over the cores.
+    count = max(2, min(MAX_SEGMENTS, -(-rows // max(1, hot_rows // 8))))
     ranged = df.repartitionByRange(count, *ascending([*groups, *order]))
     return durable(ranged.withColumn(SEGMENT, F.spark_partition_id()), "segments")
 
