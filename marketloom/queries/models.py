@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from marketloom.functions import amounts
 from marketloom.operators import features as f
 from marketloom.operators import forecasting as t
 from marketloom.operators import modelling as m

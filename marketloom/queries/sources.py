@@ -151,7 +151,7 @@ def _drop_table(s, d):
     gone = not s.catalog.tableExists(name)
     # Dropping an external table keeps its files.
     return s.read.parquet(path).agg(F.sum("rows").alias("rows")).select(
-        "rows", F.lit(counted).alias("rows_before"), F.lit(int(existed)).alias("existed"), F.lit(int(gone)).alias("gone")
+        "rows", F.lit(counted).cast("long").alias("rows_before"), F.lit(int(existed)).alias("existed"), F.lit(int(gone)).alias("gone")
     )
 
 
@@ -223,6 +223,7 @@ ORACLES = {
         WHERE o_orderkey % 7 = 0 AND o_orderkey % 2 != 0""",
     "delete_rows": "SELECT * FROM orders WHERE NOT (o_totalprice > 100000 AND o_orderstatus = 'O')",
     "table_stats": "SELECT count(*) AS row_count, 11 AS column_count, CAST(1 AS BIGINT) AS files FROM lineitem",
+    "drop_table": on_sales("SELECT count(*) AS rows, count(*) AS rows_before, 1 AS existed, 1 AS gone FROM sales"),
     "layout_pruned_read": on_sales(f"""SELECT {', '.join(KEYS)}, customer_id, total_amount, invoice_date FROM sales
         WHERE year(invoice_date) = 1997 AND month(invoice_date) = 3"""),
     "layout_bucketed_read": on_sales(
