@@ -33,31 +33,31 @@ def held_out(doc_id: Column, modulus: int, remainder: int) -> Column:
 
 
 def ranked(
-    df: DataFrame, groups: Sequence[str], bucket: str, order: Sequence[Column], name: str, total: str | None = None
+    df: DataFrame,
+    groups: Sequence[str],
+    bucket: str,
+    order: Sequence[Column],
+    name: str,
+    value: Column | None = None,
 ) -> DataFrame:
-    """Adds ``name``: the place of each row, from 0, within its group, in the order (bucket, ``order``).
+    """Adds ``name``: the rows (or the sum of ``value``) of the same group before each row, in the order (bucket, ``order``).
 
-    A task sorts one (group, bucket), never a whole group: the rows of each bucket are counted first, and the running sum over
-    these counts gives the place of its first row. ``df`` is read twice, so pass a stored table. ``total`` names a column
-    with the number of rows of the group.
+    A task sorts one (group, bucket), never a whole group: each bucket is summed up first, and the running sum over these
+    gives what comes before it. ``df`` is read twice: pass a stored table, or one whose buckets depend on its rows only.
     """
-    within = Window.partitionBy(*groups, bucket)
-    counts = df.groupBy(*groups, bucket).agg(F.count(F.lit(1)).alias("__n"))
-    if groups:
-        by_group = Window.partitionBy(*groups)
-    else:  # one row per bucket, whose number the caller bounds by rows / rows per bucket
-        by_group = Window.partitionBy()
-    offsets = counts.select(
-        *[F.col(g).alias(f"__g{i}") for i, g in enumerate(groups)],
-        F.col(bucket).alias("__b"),
-        (F.sum("__n").over(by_group.orderBy(bucket).rowsBetween(Window.unboundedPreceding, 0)) - F.col("__n")).alias(
-            "__first"
-        ),
-        *([F.sum("__n").over(by_group).alias(total)] if total else []),
+    value = F.lit(1).cast("long") if value is None else value
+    sums = df.groupBy(*groups, bucket).agg(F.sum(value).alias("__n"))
+    # One row per bucket of a group; the caller bounds the buckets by rows / rows per task.
+    along = Window.partitionBy(*groups).orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)
+    keys = [*groups, bucket]
+    first = sums.select(
+        *[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)], F.coalesce(F.sum("__n").over(along), F.lit(0)).alias("__first")
     )
-    on = F.col(bucket).eqNullSafe(F.col("__b"))
-    for i, g in enumerate(groups):
-        on = on & F.col(g).eqNullSafe(F.col(f"__g{i}"))
-    local = df.withColumn("__local", F.row_number().over(within.orderBy(*order)))
-    out = local.join(offsets, on, "left").withColumn(name, F.col("__first") + F.col("__local") - 1)
-    return out.drop("__local", "__first", "__b", *[f"__g{i}" for i in range(len(groups))])
+    on = None
+    for i, k in enumerate(keys):
+        same = F.col(k).eqNullSafe(F.col(f"__k{i}"))
+        on = same if on is None else on & same
+    within = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    local = df.withColumn("__local", F.coalesce(F.sum(value).over(within), F.lit(0)))
+    out = local.join(first, on, "left").withColumn(name, F.col("__first") + F.col("__local"))
+    return out.drop("__local", "__first", *[f"__k{i}" for i in range(len(keys))])

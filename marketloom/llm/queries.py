@@ -5,9 +5,33 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketloom.llm.common import table
+from marketloom.llm import language_id, quality
+from marketloom.llm.common import held_out, table
+from marketloom.llm.decontaminate import contamination
 from marketloom.llm.exact_dedup import exact_duplicates
+from marketloom.llm.mixing import schedule, size_of
+from marketloom.llm.preferences import format_pairs, mismatched
 from marketloom.llm.sharding import documents_by_text, shard_documents
+from marketloom.llm.simhash import near_duplicates
+from marketloom.llm.warc import archived
+
+
+def op1_bradley_terry(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").withColumn("held_out", held_out(F.col("doc_id"), 4, 2))
+    labels = table(spark, sf_dir, "labels").where(~held_out(F.col("doc_id"), 4, 2))
+    model = quality.fit(docs.where(~F.col("held_out")), labels)
+    scored = docs.select("doc_id", "held_out", quality.quality_scores(docs, model).alias("score"))
+    return scored.withColumn("predicted", (F.col("score") >= quality.CUT).cast("int"))
+
+
+def op2_content_addressed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = archived(table(spark, sf_dir, "pages"))
+    return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def op3_pfair_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").withColumn("size", size_of(F.col("text")))
+    return schedule(docs.select("doc_id", "source", "size"), F.col("size"))
 
 
 def op4_label_propagation(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -17,6 +41,38 @@ def op4_label_propagation(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_ngram_set(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found, _ = contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select(
+        F.col("doc").alias("doc_id"),
+        "n_words",
+        "n_hit",
+        "n_items",
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
+def op7_preference_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = format_pairs(mismatched(table(spark, sf_dir, "conversations")))
+    return found.withColumnRenamed("pair", "conv_id")
+
+
+def op8_nearest_centroid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").withColumn("held_out", held_out(F.col("doc_id"), 3, 1))
+    model = language_id.fit(docs.where(~F.col("held_out")))
+    found = docs.select("doc_id", "held_out", language_id.identify(docs, model).alias("x"))
+    return found.select(
+        "doc_id", "held_out", F.col("x.lang").alias("lang_pred"), F.col("x.score").alias("score"), F.col("x.rejected").alias("rejected")
+    )
+
+
+def op9_simhash_pigeonhole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = near_duplicates(table(spark, sf_dir, "documents"))
+    fingerprint = F.lpad(F.lower(F.hex("fp")), 16, "0")
+    return found.select(F.col("id").alias("doc_id"), fingerprint.alias("fingerprint"), F.col("component").alias("component_id"))
+
+
 def op10_content_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_duplicates(table(spark, sf_dir, "documents"))
 
@@ -29,11 +85,29 @@ SELECT t.doc_id, g.keep_id, g.group_size, t.doc_id IS NOT DISTINCT FROM g.keep_i
 FROM t JOIN g ON t.norm = g.norm
 """
 
+ORACLE_2 = """
+WITH p AS (SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest FROM pages),
+r AS (SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS first,
+  row_number() OVER (PARTITION BY payload_digest ORDER BY page_id) AS place FROM p)
+SELECT page_id, payload_bytes, payload_digest,
+  CASE WHEN payload_bytes >= 100 AND place > 1 THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN payload_bytes >= 100 AND place > 1 THEN first END AS refers_to
+FROM r
+"""
+
 QUERIES = {
+    "op1_bradley_terry": op1_bradley_terry,
+    "op2_content_addressed": op2_content_addressed,
+    "op3_pfair_mix": op3_pfair_mix,
     "op4_label_propagation": op4_label_propagation,
+    "op6_ngram_set": op6_ngram_set,
+    "op7_preference_pairs": op7_preference_pairs,
+    "op8_nearest_centroid": op8_nearest_centroid,
+    "op9_simhash_pigeonhole": op9_simhash_pigeonhole,
     "op10_content_sort": op10_content_sort,
 }
 
 ORACLES = {
+    "op2_content_addressed": ORACLE_2,
     "op10_content_sort": ORACLE_10,
 }
