@@ -13,6 +13,7 @@ from marketloom.llm.mixing import schedule, size_of
 from marketloom.llm.preferences import format_pairs, mismatched
 from marketloom.llm.sharding import documents_by_text, shard_documents
 from marketloom.llm.simhash import near_duplicates
+from marketloom.llm.substring_dedup import passages
 from marketloom.llm.warc import archived
 
 
@@ -53,6 +54,10 @@ def op6_ngram_set(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_collinear_chains(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return passages(table(spark, sf_dir, "documents"))
+
+
 def op7_preference_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = format_pairs(mismatched(table(spark, sf_dir, "conversations")))
     return found.withColumnRenamed("pair", "conv_id")
@@ -100,6 +105,7 @@ QUERIES = {
     "op2_content_addressed": op2_content_addressed,
     "op3_pfair_mix": op3_pfair_mix,
     "op4_label_propagation": op4_label_propagation,
+    "op5_collinear_chains": op5_collinear_chains,
     "op6_ngram_set": op6_ngram_set,
     "op7_preference_pairs": op7_preference_pairs,
     "op8_nearest_centroid": op8_nearest_centroid,
