@@ -2,7 +2,8 @@
 
 Adding doubles gives a result that changes with the partitioning and with task retries. Amounts are therefore added as
 decimals with four places, which is exact for prices in cents and for interpolated quartiles of them, and only the
-finished sum is turned into a double. Pass ``exact=False`` for columns that are not amounts or counts.
+finished sum is turned into a double. That holds for amounts and counts only: the general statistics, which take any column,
+add doubles (``exact=False``), as four places would round small values away and large or infinite ones don't fit.
 """
 
 from __future__ import annotations
@@ -39,7 +40,7 @@ def row_count() -> Column:
     return F.count(F.lit(1))
 
 
-def summary(name: str, column: Column | str, over=None, exact: bool = True) -> Column:
+def summary(name: str, column: Column | str, over=None, exact: bool = False) -> Column:
     """One of the summary functions that the rolling and group features offer."""
     value = _col(column)
     plain: dict[str, Callable[[], Column]] = {

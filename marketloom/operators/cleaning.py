@@ -56,15 +56,15 @@ def remove_duplicates(
 def choose_date_formats(
     df: DataFrame, columns: Sequence[str], formats: Sequence[str] = calendar.DATE_FORMATS
 ) -> dict[str, str | None]:
-    """For each column the first format that parses at least one value; ``None`` if none does.
-
-    A format that fits is found after a few rows; only one that fits nowhere costs a scan of the column.
-    """
-
-    def fits(column: str, fmt: str) -> bool:
-        return not df.where(calendar.parse_date(F.col(column).cast("string"), fmt).isNotNull()).select(F.lit(1)).isEmpty()
-
-    return {c: next((f for f in formats if fits(c, f)), None) for c in present(df, columns)}
+    """For each column the first format that parses at least one value; ``None`` if none does. One scan for all of them."""
+    columns = present(df, columns)
+    if not columns:
+        return {}
+    parsed = {
+        (i, j): calendar.parse_date(F.col(c).cast("string"), f) for i, c in enumerate(columns) for j, f in enumerate(formats)
+    }
+    row = df.agg(*[F.count(p).alias(f"n_{i}_{j}") for (i, j), p in parsed.items()]).first()
+    return {c: next((f for j, f in enumerate(formats) if row[f"n_{i}_{j}"]), None) for i, c in enumerate(columns)}
 
 
 def parse_dates(df: DataFrame, formats: dict[str, str | None]) -> DataFrame:
@@ -106,13 +106,45 @@ def standardize_text(
     return df.withColumns({c: text.normalize(c, lowercase, strip, token) for c in columns}) if columns else df
 
 
+def fractional_columns(df: DataFrame, columns: Sequence[str]) -> set[str]:
+    """The columns that hold a number with a fraction."""
+    whole = {c for c, t in df.dtypes if t in ("tinyint", "smallint", "int", "bigint")}
+    columns = [c for c in columns if c not in whole]
+    if not columns:
+        return set()
+    number = {c: F.col(c).try_cast("double") for c in columns}
+    row = df.agg(*[F.count(F.when(number[c] != F.floor(number[c]), 1)).alias(f"n{i}") for i, c in enumerate(columns)]).first()
+    return {c for i, c in enumerate(columns) if row[f"n{i}"]}
+
+
+def coercion_losses(before: DataFrame, after: DataFrame) -> DataFrame:
+    """(column, lost): values that were there before a type coercion and are missing after it; one scan of each."""
+    columns = present(after, before.columns)
+    b = missing_counts(before.select(*columns))
+    a = missing_counts(after.select(*columns))
+    rows = [(c, a[c] - b[c]) for c in columns]
+    return before.sparkSession.createDataFrame(rows, "column string, lost long")
+
+
+def missing_counts(df: DataFrame) -> dict[str, int]:
+    cells = [F.count(F.when(profiling.is_missing(df, c), 1)).alias(f"m{i}") for i, c in enumerate(df.columns)]
+    row = df.agg(*cells).first()
+    return {c: row[f"m{i}"] for i, c in enumerate(df.columns)}
+
+
 def coerce_types(df: DataFrame, types: dict[str, str], reference_nulls: bool = False) -> DataFrame:
-    """Cast columns to int, float, str, datetime or category; a value that does not fit becomes null."""
+    """Cast columns to int, float, str, datetime or category; a value that does not fit becomes null.
+
+    A column with fractions is not made an integer one, which would lose them: it becomes double. One scan finds out for
+    all columns; ``coercion_losses`` counts the values that do not fit.
+    """
     new = {}
+    fractional = fractional_columns(df, [c for c in present(df, types) if types[c].lower() in ("int", "int64")])
     for c in present(df, types):
         kind, value = types[c].lower(), F.col(c)
+        kind = "float" if c in fractional else kind
         if kind in ("int", "int64"):
-            # Text like '3.0' is a whole number too; a fraction is not an integer and becomes null.
+            # Text like '3.0' is a whole number too.
             number = value.try_cast("double")
             new[c] = F.coalesce(value.try_cast("bigint"), F.when(number == F.floor(number), number.try_cast("bigint")))
             if dict(df.dtypes)[c] in ("float", "double") or dict(df.dtypes)[c].startswith("decimal"):
@@ -163,7 +195,7 @@ def numeric_fills(df: DataFrame, columns: Sequence[str], strategy: str = "median
     if strategy == "median":
         values = {c: q[0] for c, q in quantiles(df, columns, [0.5], exact).items()}
     elif strategy == "mean":
-        row = df.agg(*[amounts.mean(c).alias(c) for c in columns]).first() if columns else {}
+        row = df.agg(*[amounts.mean(F.col(c).cast("double"), exact=False).alias(c) for c in columns]).first() if columns else {}
         values = {c: row[c] for c in columns}
     else:
         raise ValueError(f"unknown strategy: {strategy}")
@@ -266,7 +298,7 @@ def zscore_bounds(df: DataFrame, columns: Sequence[str], threshold: float = OUTL
     columns = present(df, columns)
     df = profiling.nan_to_null(df.select(*columns))
     row = df.agg(
-        *[amounts.mean(c).alias(f"mean_{c}") for c in columns],
+        *[amounts.mean(F.col(c).cast("double"), exact=False).alias(f"mean_{c}") for c in columns],
         *[F.stddev_samp(F.col(c).cast("double")).alias(f"std_{c}") for c in columns],
     ).first()
     return {

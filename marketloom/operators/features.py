@@ -12,7 +12,7 @@ from marketloom.functions import amounts, calendar
 from marketloom.operators import profiling
 from marketloom.operators.lookups import lookup, lookup_columns
 from marketloom.operators.ordering import HOT_ROWS, has_group, ordered_columns, row_numbers
-from marketloom.schema import LAG_PERIODS, ROLLING_WINDOWS, present
+from marketloom.schema import LAG_PERIODS, ROLLING_WINDOWS, numeric_columns, present
 from marketloom.session import durable
 
 Maker = Callable[[object], Column]
@@ -25,7 +25,7 @@ def lag_makers(value: str, lags: Sequence[int]) -> dict[str, Maker]:
     return {f"{value}_lag_{n}": (lambda w, n=n: F.lag(value, n).over(w)) for n in lags}
 
 
-def rolling_makers(value: str, windows: Sequence[int], functions: Sequence[str], exact: bool = True) -> dict[str, Maker]:
+def rolling_makers(value: str, windows: Sequence[int], functions: Sequence[str], exact: bool = False) -> dict[str, Maker]:
     return {
         f"{value}_rolling_{f}_{size}": (
             lambda w, f=f, size=size: amounts.summary(f, value, w.rowsBetween(1 - size, 0), exact)
@@ -54,7 +54,7 @@ def rolling_features(
     windows: Sequence[int] = ROLLING_WINDOWS,
     groups: Sequence[str] = (),
     functions: Sequence[str] = ("mean", "std"),
-    exact: bool = True,
+    exact: bool = False,
     hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """``{value}_rolling_{f}_{w}`` over the last w rows, as many as there are; std of one value is null."""
@@ -76,13 +76,16 @@ def date_features(df: DataFrame, column: str) -> DataFrame:
 
 def label_codes(df: DataFrame, columns: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame:
     """(column, value, code): the place of each value among the sorted distinct values, from 0."""
-    levels = profiling.value_counts(df, columns).drop("rows")
-    numbered = row_numbers(levels, ["value"], "n", ["column"], hot_rows)
+    numbers = set(numeric_columns(df.select(*columns)))
+    # Numbers are ordered as numbers, everything else as text.
+    number = F.when(F.col("column").isin(*numbers), F.col("value").cast("double")) if numbers else F.lit(None).cast("double")
+    levels = profiling.value_counts(df, columns).drop("rows").withColumn("__number", number)
+    numbered = row_numbers(levels, ["__number", "value"], "n", ["column"], hot_rows)
     return numbered.select("column", "value", (F.col("n") - 1).cast("int").alias("code"))
 
 
 def label_encode(df: DataFrame, columns: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame:
-    """``{c}_encoded``: index among the sorted distinct values, -1 for a missing value. For text columns."""
+    """``{c}_encoded``: index among the sorted distinct values, -1 for a missing value."""
     columns = present(df, columns)
     coded = lookup_columns(df, label_codes(df, columns, hot_rows), columns, "code", "_encoded")
     return coded.withColumns({f"{c}_encoded": F.coalesce(F.col(f"{c}_encoded"), F.lit(-1)) for c in columns})
@@ -97,15 +100,16 @@ def frequency_encode(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return lookup_columns(df, shares, columns, "share", "_freq")
 
 
-def onehot_levels(df: DataFrame, column: str, max_levels: int = 1000) -> list[str]:
-    """The sorted distinct values; more than ``max_levels`` is an error, as each becomes a column."""
-    found = df.select(column).where(F.col(column).isNotNull()).distinct().orderBy(column).limit(max_levels + 1).collect()
-    if len(found) > max_levels:
+def onehot_levels(df: DataFrame, column: str, max_levels: int | None = None) -> list[str]:
+    """The sorted distinct values. Each becomes a column; with ``max_levels`` more of them are an error."""
+    levels = df.select(column).where(F.col(column).isNotNull()).distinct().orderBy(column)
+    found = (levels if max_levels is None else levels.limit(max_levels + 1)).collect()
+    if max_levels is not None and len(found) > max_levels:
         raise ValueError(f"{column} has more than {max_levels} values; use label or frequency encoding")
     return [r[0] for r in found]
 
 
-def onehot_encode(df: DataFrame, columns: Sequence[str], max_levels: int = 1000) -> DataFrame:
+def onehot_encode(df: DataFrame, columns: Sequence[str], max_levels: int | None = None) -> DataFrame:
     """``{c}_{value}`` flags for all but the first sorted value; all false for a missing value."""
     new = {}
     for c in present(df, columns):
@@ -129,7 +133,7 @@ def group_features(
     groups: Sequence[str],
     value: str,
     functions: Sequence[str] = ("mean", "sum", "std", "min", "max", "count"),
-    exact: bool = True,
+    exact: bool = False,
 ) -> DataFrame:
     """``{value}_{f}_by_{groups}`` joined back to every row; null for a missing group, sum of nothing is 0."""
     label = "_".join(groups)
@@ -187,6 +191,10 @@ def customer_makers(
         "customer_min_amount": over(F.min(amount)),
         "customer_max_amount": over(F.max(amount)),
     }
+    # Optional columns: what is made of them is left out with them.
+    for name, column in (("recency", date), ("frequency", invoice)):
+        if column not in df.columns:
+            del makers[name]
     if "quantity" in df.columns:
         makers["customer_avg_quantity"] = lambda w: amounts.mean("quantity", w)
         makers["customer_total_quantity"] = lambda w: F.coalesce(amounts.total("quantity", w), F.lit(0.0))

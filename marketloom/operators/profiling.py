@@ -96,7 +96,7 @@ def describe_numeric(df: DataFrame, columns: Sequence[str] | None = None, exact:
             for i, c in enumerate(columns)
             for k, e in (
                 ("count", F.count(c)),
-                ("mean", amounts.mean(c)),
+                ("mean", amounts.mean(F.col(c).cast("double"), exact=False)),
                 ("std", F.stddev_samp(F.col(c).cast("double"))),
                 ("min", F.min(c).cast("double")),
                 ("max", F.max(c).cast("double")),
@@ -236,5 +236,5 @@ def cleaning_report(before: DataFrame, after: DataFrame, outliers: DataFrame | N
 
 
 def save_report(report: DataFrame, path: str) -> None:
-    """Write a report as JSON lines, stamped with the time of the run."""
-    report.withColumn("timestamp", F.current_timestamp()).write.mode("append").json(path)
+    """Write a report as JSON lines, stamped with the time of the run; a repeated run replaces it."""
+    report.withColumn("timestamp", F.current_timestamp()).write.mode("overwrite").json(path)

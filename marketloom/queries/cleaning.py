@@ -7,12 +7,15 @@ from pyspark.sql import functions as F
 from marketloom.operators import cleaning as c
 from marketloom.operators.ordering import forward_fill
 from marketloom.plans.cleaning import clean_sales, clean_table
-from marketloom.queries.fixtures import KEYS, ORDER, RAW_SQL, mean, on_raw, on_sales, raw_sales, sales
+from marketloom.queries.fixtures import KEYS, ORDER, RAW_SQL, on_raw, on_sales, raw_sales, sales, significant, significant_sql
 from marketloom.session import durable
 
 SUBSET = ["customer_id", "category"]
 GAPS = ["age", "price"]
 CAPPED = ["age", "quantity", "price"]
+# The same amounts far below and far above what a sum of amounts is made for.
+SCALED = {"price_tiny": "price / 1e7", "price_huge": "price * 1e13"}
+SCALED_SQL = ", ".join(f"{e} AS {c}" for c, e in SCALED.items())
 
 
 def _rounded(df, columns, places=4):
@@ -40,7 +43,7 @@ def _text_columns(spark, d, reference_nulls):
 
 
 def _cleaned(spark, d):
-    return _rounded(clean_sales(raw_sales(spark, d)), ["price", "quantity", "age", "total_amount"])
+    return _rounded(clean_sales(raw_sales(spark, d), keys=KEYS), ["price", "quantity", "age", "total_amount"])
 
 
 def _generic(spark, d):
@@ -48,7 +51,7 @@ def _generic(spark, d):
         raw_sales(spark, d),
         date_columns=["invoice_date"],
         text_columns=["gender", "category"],
-        numeric_columns=["price", "age"],
+        capped_columns=["price", "age"],
     )
     return _rounded(out, ["price", "age"])
 
@@ -61,7 +64,9 @@ def _stored(s, d, *columns):
 def _impute(strategy):
     def query(s, d):
         raw = _stored(s, d, *GAPS)
-        return c.fill_numeric(raw, GAPS, c.numeric_fills(raw, GAPS, strategy))
+        raw = raw.withColumns({x: F.expr(e) for x, e in SCALED.items()})
+        columns = [*GAPS, *SCALED]
+        return significant(c.fill_numeric(raw, columns, c.numeric_fills(raw, columns, strategy)), columns)
 
     return query
 
@@ -141,6 +146,14 @@ def _median(column: str, source: str) -> str:
     return f"(SELECT quantile_cont(CAST({column} AS DOUBLE), 0.5) FROM {source})"
 
 
+def _imputed(statistic: str) -> str:
+    """Gaps filled with a statistic of the column, for the amounts and their scaled versions."""
+    filled = ", ".join(
+        f"{significant_sql(f'coalesce({x}, (SELECT {statistic.format(x)} FROM t))')} AS {x}" for x in [*GAPS, *SCALED]
+    )
+    return on_raw("").rstrip() + f", t AS (SELECT {_K}, age, price, {SCALED_SQL} FROM raw) SELECT {_K}, {filled} FROM t"
+
+
 def _mode(column: str, source: str) -> str:
     return f"""(SELECT {column} FROM {source} WHERE {column} IS NOT NULL GROUP BY {column}
         ORDER BY count(*) DESC, {column} LIMIT 1)"""
@@ -199,14 +212,12 @@ ORACLES = {
         CASE WHEN l_orderkey % 29 = 0 THEN NULL ELSE CAST(CAST(price AS DECIMAL(18,2)) AS DOUBLE) END AS price_text,
         CASE WHEN l_orderkey % 37 = 0 THEN NULL ELSE CAST(CAST(invoice_date AS DATE) AS TIMESTAMP) END AS date_text,
         CASE WHEN l_orderkey % 41 = 0 THEN 'nan' ELSE CAST(age AS VARCHAR) END AS age_text,
-        CASE WHEN age % 4 = 0 THEN age // 4 END AS quarter_age FROM sales"""),
+        CAST(age AS DOUBLE) / 4 AS quarter_age FROM sales"""),
     "drop_sparse_columns": on_raw("SELECT * EXCLUDE (loyalty_tier) FROM raw"),
     "drop_null_rows": on_raw("""SELECT * EXCLUDE (loyalty_tier) FROM raw
         WHERE age IS NOT NULL AND category IS NOT NULL AND price IS NOT NULL AND gender IS NOT NULL"""),
-    "impute_median": on_raw(f"""SELECT {_K}, coalesce(CAST(age AS DOUBLE), {_median('age', 'raw')}) AS age,
-        coalesce(price, {_median('price', 'raw')}) AS price FROM raw"""),
-    "impute_mean": on_raw(f"""SELECT {_K}, coalesce(CAST(age AS DOUBLE), (SELECT {mean('age')} FROM raw)) AS age,
-        coalesce(price, (SELECT {mean('price')} FROM raw)) AS price FROM raw"""),
+    "impute_median": _imputed("quantile_cont(CAST({} AS DOUBLE), 0.5)"),
+    "impute_mean": _imputed("avg(CAST({} AS DOUBLE))"),
     "impute_mode": on_raw(f"""SELECT {_K}, coalesce(category, {_mode('category', 'raw')}) AS category,
         coalesce(loyalty_tier, {_mode('loyalty_tier', 'raw')}) AS loyalty_tier FROM raw"""),
     "forward_fill": _fill(""),

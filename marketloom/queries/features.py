@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from marketloom.operators import features as f
 from marketloom.plans.transform import LAGS, transform_sales
 from marketloom.queries.fixtures import KEYS, ORDER, mean, money, on_raw, on_sales, raw_sales, sales
-from marketloom.schema import LAG_PERIODS, ROLLING_WINDOWS, TEXT_COLUMNS
+from marketloom.schema import LAG_PERIODS, ROLLING_WINDOWS, TARGET, TEXT_COLUMNS
 from marketloom.session import durable
 
 FUNCTIONS = ["mean", "std", "min", "max", "sum"]
@@ -15,9 +15,9 @@ _K = ", ".join(KEYS)
 _O = ", ".join(ORDER)
 
 
-def _rounded(df, part, places=2):
-    """Standard deviations are rounded: engines add their squares in different orders."""
-    return df.withColumns({c: F.round(c, places) for c in df.columns if part in c})
+def _rounded(df, *parts, places=2):
+    """Sums of doubles and standard deviations are rounded: engines add in different orders."""
+    return df.withColumns({c: F.round(c, places) for c in df.columns if any(p in c for p in parts)})
 
 
 def _slim(s, d, *columns):
@@ -29,12 +29,12 @@ def _lag(groups):
 
 
 def _rolling(groups):
-    return lambda s, d: _rounded(
-        f.rolling_features(
-            _slim(s, d, "customer_id", "total_amount"), "total_amount", ORDER, groups=groups, functions=FUNCTIONS
-        ),
-        "_std_",
-    )
+    def query(s, d):
+        slim = _slim(s, d, "customer_id", "total_amount")
+        out = f.rolling_features(slim, "total_amount", ORDER, groups=groups, functions=FUNCTIONS)
+        return _rounded(_rounded(out, "_std_"), "_mean_", "_sum_", places=6)
+
+    return query
 
 
 def _dates(s, d):
@@ -64,13 +64,21 @@ def _transform(s, d):
     return _rounded(transform_sales(durable(sales(s, d), "sales"), ORDER), "std")
 
 
+def _transform_without(s, d, *columns):
+    """The job on a table that lacks optional columns."""
+    slim = sales(s, d).drop(*columns).select(*ORDER, *[c for c in ("customer_id", "category", "invoice_no", "quantity", "price", TARGET) if c not in columns])
+    return _rounded(transform_sales(durable(slim, "sales"), ORDER), "std")
+
+
 QUERIES = {
     "lag_grouped": _lag(["customer_id"]),
     "lag_global": _lag([]),
     "rolling_grouped": _rolling(["customer_id"]),
     "rolling_global": _rolling([]),
     "date_features": _dates,
-    "encode_label": lambda s, d: f.label_encode(raw_sales(s, d).select(*KEYS, *TEXT_COLUMNS), TEXT_COLUMNS),
+    "encode_label": lambda s, d: f.label_encode(
+        raw_sales(s, d).select(*KEYS, *TEXT_COLUMNS, "quantity", "price"), [*TEXT_COLUMNS, "quantity", "price"]
+    ),
     "encode_onehot": _onehot,
     "encode_frequency": lambda s, d: f.frequency_encode(raw_sales(s, d).select(*KEYS, "category", "loyalty_tier"), ["category", "loyalty_tier"]),
     "group_aggregates": lambda s, d: _rounded(
@@ -78,6 +86,8 @@ QUERIES = {
             raw_sales(s, d).select(*KEYS, "category", "gender", "price"), ["category", "gender"], "price"
         ),
         "_std_",
+        "_mean_",
+        "_sum_",
     ),
     "ratio_feature": _ratio,
     "rfm_features": lambda s, d: f.customer_features(
@@ -102,6 +112,8 @@ QUERIES = {
     "price_vs_category": lambda s, d: f.price_vs_category(raw_sales(s, d).select(*KEYS, "category", "price")),
     "customer_ltv": lambda s, d: f.customer_ltv(_slim(s, d, "customer_id", "total_amount")),
     "transform_sales": _transform,
+    "transform_without_category": lambda s, d: _transform_without(s, d, "category"),
+    "transform_without_customer": lambda s, d: _transform_without(s, d, "customer_id", "price"),
 }
 
 
@@ -112,19 +124,19 @@ def _lag_sql(partition: str) -> str:
     return on_sales(f"SELECT {_O}, customer_id, total_amount, {lags} FROM sales")
 
 
-def _roll(name: str, column: str, over: str) -> str:
+def _roll(name: str, column: str, over: str, exact: bool) -> str:
     if name == "mean":
-        return mean(column, over)
+        return mean(column, over) if exact else f"round(avg({column}){over}, 6)"
     if name == "sum":
-        return money(column, over)
+        return money(column, over) if exact else f"round(sum({column}){over}, 6)"
     if name == "std":
         return f"round(stddev_samp({column}){over}, 2)"
     return f"{name}({column}){over}"
 
 
-def _rolling_columns(partition: str, functions) -> str:
+def _rolling_columns(partition: str, functions, exact: bool = True) -> str:
     return ", ".join(
-        _roll(x, "total_amount", f" OVER ({partition} ORDER BY {_O} ROWS BETWEEN {w - 1} PRECEDING AND CURRENT ROW)")
+        _roll(x, "total_amount", f" OVER ({partition} ORDER BY {_O} ROWS BETWEEN {w - 1} PRECEDING AND CURRENT ROW)", exact)
         + f" AS total_amount_rolling_{x}_{w}"
         for w in ROLLING_WINDOWS
         for x in functions
@@ -132,7 +144,7 @@ def _rolling_columns(partition: str, functions) -> str:
 
 
 def _rolling_sql(partition: str) -> str:
-    return on_sales(f"SELECT {_O}, customer_id, total_amount, {_rolling_columns(partition, FUNCTIONS)} FROM sales")
+    return on_sales(f"SELECT {_O}, customer_id, total_amount, {_rolling_columns(partition, FUNCTIONS, False)} FROM sales")
 
 
 _PARTS = """CAST(year(D) AS INTEGER) AS year, CAST(month(D) AS INTEGER) AS month, CAST(day(D) AS INTEGER) AS day,
@@ -174,7 +186,8 @@ ORACLES = {
     "rolling_global": _rolling_sql(""),
     "date_features": on_sales(f"""SELECT * EXCLUDE (invoice_date, D), D AS invoice_date FROM (SELECT {_O}, {_PARTS}, D FROM
         (SELECT *, CASE WHEN l_orderkey % 31 != 0 THEN invoice_date END AS D FROM sales))"""),
-    "encode_label": on_raw(f"SELECT {_K}, {', '.join(TEXT_COLUMNS)}, {', '.join(map(_label, TEXT_COLUMNS))} FROM raw"),
+    "encode_label": on_raw(f"""SELECT {_K}, {', '.join(TEXT_COLUMNS)}, quantity, price,
+        {', '.join(map(_label, [*TEXT_COLUMNS, 'quantity', 'price']))} FROM raw"""),
     "encode_onehot": on_raw(f"""SELECT {_K}, payment_method, lower(trim(gender)) AS gender,
         CASE WHEN lower(trim(gender)) = 'male' THEN 1 ELSE 0 END AS gender_male,
         """ + ", ".join(
@@ -183,8 +196,8 @@ ORACLES = {
     ) + " FROM raw"),
     "encode_frequency": on_raw(f"SELECT {_K}, category, loyalty_tier, {_freq('category')}, {_freq('loyalty_tier')} FROM raw"),
     "group_aggregates": on_raw(f"""SELECT {_K}, category, gender, price,
-        CASE WHEN category IS NOT NULL THEN {mean('price', _BY)} END AS price_mean_by_category_gender,
-        CASE WHEN category IS NOT NULL THEN {money('price', _BY)} END AS price_sum_by_category_gender,
+        CASE WHEN category IS NOT NULL THEN round(avg(price) {_BY}, 2) END AS price_mean_by_category_gender,
+        CASE WHEN category IS NOT NULL THEN round(coalesce(sum(price) {_BY}, 0), 2) END AS price_sum_by_category_gender,
         CASE WHEN category IS NOT NULL THEN round(stddev_samp(price) {_BY}, 2) END AS price_std_by_category_gender,
         CASE WHEN category IS NOT NULL THEN min(price) {_BY} END AS price_min_by_category_gender,
         CASE WHEN category IS NOT NULL THEN max(price) {_BY} END AS price_max_by_category_gender,
@@ -208,4 +221,16 @@ ORACLES = {
         price / {mean('price', _G)} AS price_vs_category_avg, {money('total_amount', _C)} AS customer_ltv
         FROM (SELECT * FROM sales) s JOIN ({_RANK} FROM (SELECT category AS category, {money('total_amount')} AS category_total_amount
           FROM sales GROUP BY category)) r USING (category)""").replace("CAST(D AS DATE)", "CAST(invoice_date AS DATE)"),
+    "transform_without_category": on_sales(f"""SELECT {_O}, customer_id, invoice_no, quantity, price, total_amount,
+        {_PARTS.replace('(D', '(invoice_date')}, {_RFM}, {_CUSTOMER}, {mean('total_amount', _C)} AS total_amount_mean_by_customer_id,
+        {money('total_amount', _C)} AS total_amount_sum_by_customer_id, count(total_amount){_C} AS total_amount_count_by_customer_id,
+        {', '.join(f'lag(total_amount, {n}) OVER (PARTITION BY customer_id ORDER BY {_O}) AS total_amount_lag_{n}' for n in LAGS)},
+        {_rolling_columns('PARTITION BY customer_id', ['mean', 'std'])}, {money('total_amount', _C)} AS customer_ltv
+        FROM sales""").replace("CAST(D AS DATE)", "CAST(invoice_date AS DATE)"),
+    "transform_without_customer": on_sales(f"""SELECT {_O}, s.category, invoice_no, quantity, total_amount,
+        {_PARTS.replace('(D', '(invoice_date')}, {_CATEGORY.replace('PARTITION BY category', 'PARTITION BY s.category')}, r.category_rank,
+        {mean('total_amount', _G).replace('PARTITION BY category', 'PARTITION BY s.category')} AS total_amount_mean_by_category,
+        {money('total_amount', _G).replace('PARTITION BY category', 'PARTITION BY s.category')} AS total_amount_sum_by_category, {_label('s.category').replace('s.category_encoded', 'category_encoded')}
+        FROM sales s JOIN ({_RANK} FROM (SELECT category AS category, {money('total_amount')} AS category_total_amount
+          FROM sales GROUP BY category)) r ON s.category = r.category""").replace("CAST(D AS DATE)", "CAST(invoice_date AS DATE)"),
 }

@@ -127,6 +127,15 @@ def mean(column: str, over: str = "") -> str:
     return f"({money(column, over)} / nullif(count({column}){over}, 0))"
 
 
+def significant(df: DataFrame, columns, digits: int = 9) -> DataFrame:
+    """Doubles rounded to significant digits: engines add in different orders, and values may be tiny or huge."""
+    return df.withColumns({c: F.when(F.col(c).isNotNull(), F.format_string(f"%.{digits}e", F.col(c).cast("double"))).cast("double") for c in columns})
+
+
+def significant_sql(expression: str, digits: int = 9) -> str:
+    return f"CAST(printf('%.{digits}e', CAST({expression} AS DOUBLE)) AS DOUBLE)"
+
+
 def on_sales(select: str) -> str:
     return f"WITH {SALES_SQL.strip()}\n{select}"
 

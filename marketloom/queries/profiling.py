@@ -6,11 +6,12 @@ from pyspark.sql import functions as F
 
 from marketloom.operators import cleaning as c
 from marketloom.operators import profiling as p
-from marketloom.queries.fixtures import KEYS, ORDER, mean, money, on_raw, on_sales, raw_sales, sales
+from marketloom.queries.fixtures import KEYS, ORDER, mean, money, on_raw, on_sales, raw_sales, sales, significant, significant_sql
 from marketloom.schema import RAW_SALES
 from marketloom.session import durable
 
 NUMERIC = ["age", "quantity", "price"]
+DESCRIBED = [*NUMERIC, "price_tiny", "price_huge"]
 TEXT = ["gender", "category", "payment_method", "shopping_mall", "loyalty_tier"]
 CHECKED = ["age", "quantity", "price", "unit_ratio"]
 WITH_GAPS = ["age", "category", "price", "loyalty_tier"]
@@ -24,8 +25,9 @@ def _finite(s, d):
 
 
 def _describe(s, d):
-    out = p.describe_numeric(durable(raw_sales(s, d).select(*NUMERIC), "raw"), NUMERIC)
-    return out.withColumn("std", F.round("std", 2)).withColumns({q: F.round(q, 4) for q in ("p25", "p50", "p75")})
+    raw = raw_sales(s, d).select(*NUMERIC).withColumns({"price_tiny": F.expr("price / 1e7"), "price_huge": F.expr("price * 1e13")})
+    out = p.describe_numeric(durable(raw, "raw"), DESCRIBED)
+    return significant(out, ["mean", "std", "min", "p25", "p50", "p75", "max"])
 
 
 def _report(s, d):
@@ -89,13 +91,24 @@ ORACLES = {
             {'CAST(NULL AS BIGINT)' if x == 'loyalty_tier' else 'CAST(0 AS BIGINT)'} AS missing_after FROM raw""",
         )
     ),
-    "describe_numeric": on_raw(
-        _each(
-            NUMERIC,
-            lambda x: f"""SELECT '{x}' AS "column", count({x}) AS count, {mean(x)} AS mean, round(stddev_samp({x}), 2) AS std,
-            CAST(min({x}) AS DOUBLE) AS min, {', '.join(f'round(quantile_cont(CAST({x} AS DOUBLE), 0.{q}), 4) AS p{q}' for q in (25, 50, 75))},
-            CAST(max({x}) AS DOUBLE) AS max FROM raw""",
+    "describe_numeric": on_raw("").rstrip()
+    + ", t AS (SELECT *, price / 1e7 AS price_tiny, price * 1e13 AS price_huge FROM raw) "
+    + _each(
+        DESCRIBED,
+        lambda x: f"""SELECT '{x}' AS "column", count({x}) AS count, """
+        + ", ".join(
+            f"{significant_sql(e.replace('X', f'CAST({x} AS DOUBLE)'))} AS {n}"
+            for n, e in {
+                "mean": "avg(X)",
+                "std": "stddev_samp(X)",
+                "min": "min(X)",
+                "p25": "quantile_cont(X, 0.25)",
+                "p50": "quantile_cont(X, 0.5)",
+                "p75": "quantile_cont(X, 0.75)",
+                "max": "max(X)",
+            }.items()
         )
+        + " FROM t",
     ),
     "categorical_profile": on_raw(
         "SELECT * FROM ("
