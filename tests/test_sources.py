@@ -15,9 +15,9 @@ def people(spark):
 
 
 def test_formats_and_sources():
-    assert files.file_format("x/Y.CSV") == "csv" and files.file_format("b.xls") == "excel"
+    assert files.file_format("x/Y.CSV") == "csv" and files.file_format("b.xlsx") == "excel"
     assert files.file_format("any", "XLSX") == "excel"
-    for bad in ("a.txt", "noext"):
+    for bad in ("a.txt", "noext", "b.xls"):
         with pytest.raises(ValueError):
             files.file_format(bad)
     with pytest.raises(ValueError):
@@ -54,7 +54,7 @@ def test_folder(spark, people, tmp_path):
     (tmp_path / "other.txt").write_text("id,name\n9,x\n")
     assert files.list_files(spark, str(tmp_path)).count() == 3
     report = files.load_folder(spark, str(tmp_path), str(tmp_path / "t")).first()
-    assert tuple(report) == (3, 3, 3)
+    assert tuple(report) == (3, 3, 3, 0, 0, "")
     assert spark.read.parquet(str(tmp_path / "t")).count() == 3
 
 
@@ -62,7 +62,51 @@ def test_corrupt_file_does_not_stop_the_others(spark, people, tmp_path):
     people.coalesce(1).write.parquet(str(tmp_path / "p"))
     (tmp_path / "p" / "bad.parquet").write_bytes(b"not parquet")
     report = files.load_folder(spark, str(tmp_path / "p"), str(tmp_path / "t"), "parquet", schema=people.schema).first()
-    assert tuple(report) == (2, 1, 3)
+    assert tuple(report) == (2, 1, 3, 0, 0, "bad.parquet")
+
+
+def test_every_csv_file_by_its_own_header(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("invoice_no,age,price\nI1,28.0,1.5\nI2,,2.5\n")
+    (tmp_path / "b.csv").write_text("price,invoice_no,extra,age\n3.5,I3,x,40\n4.5,I4,y,old\n1,2\n")
+    (tmp_path / "c.csv").write_text("invoice_no,age,price\n")
+    report = files.load_folder(spark, str(tmp_path), str(tmp_path / "t"), schema=RAW_SALES).first()
+    assert tuple(report) == (3, 3, 5, 1, 1, "")
+    rows = spark.read.parquet(str(tmp_path / "t")).orderBy("price").select("invoice_no", "age", "price", "extra").collect()
+    assert [tuple(r) for r in rows][1:] == [("I1", 28, 1.5, None), ("I2", None, 2.5, None), ("I3", 40, 3.5, "x"), ("I4", None, 4.5, "y")]
+    assert spark.read.parquet(str(tmp_path / "t")).schema["age"].dataType.typeName() == "long"
+
+
+def test_half_a_file_is_left_out_whole(spark, tmp_path):
+    import gzip
+
+    text = "id,name\n" + "".join(f"{i},name {i * 7919 % 1000003}\n" for i in range(20_000))
+    (tmp_path / "a.csv.gz").write_bytes(gzip.compress(text.encode()))
+    (tmp_path / "b.csv.gz").write_bytes(gzip.compress(text.encode())[:60_000])
+    report = files.load_folder(spark, str(tmp_path), str(tmp_path / "t"), pattern="*.csv.gz").first()
+    assert tuple(report) == (2, 1, 20_000, 0, 0, "b.csv.gz")
+    assert spark.read.parquet(str(tmp_path / "t")).count() == 20_000
+
+
+def test_quoted_line_breaks(spark, tmp_path):
+    (tmp_path / "a.csv").write_text('id,name\n1,"two\nlines"\n2,one\n')
+    rows = files.scan(spark, str(tmp_path / "a.csv"), multiLine=True).orderBy("id").collect()
+    assert [tuple(r) for r in rows] == [(1, "two\nlines"), (2, "one")]
+
+
+def test_columns_of_later_files(spark, tmp_path):
+    spark.createDataFrame([(1, "a")], "id int, x string").coalesce(1).write.parquet(str(tmp_path / "p" / "one.parquet"))
+    spark.createDataFrame([(2, 0.5)], "id int, y double").coalesce(1).write.parquet(str(tmp_path / "p" / "two.parquet"))
+    rows = files.scan(spark, str(tmp_path / "p"), "parquet", recursiveFileLookup=True).orderBy("id").collect()
+    assert [tuple(r[c] for c in ("id", "x", "y")) for r in rows] == [(1, "a", None), (2, None, 0.5)]
+    for i, names in enumerate((["a", "b"], ["b", "c"])):
+        spark.createDataFrame([(f"{i}0", f"{i}1")], names).createOrReplaceTempView("v")
+        excel.write_excel(spark.table("v").coalesce(1), str(tmp_path / f"x{i}"))
+    books = tmp_path / "books"
+    books.mkdir()
+    for i in range(2):
+        (books / f"{i}.xlsx").write_bytes(next((tmp_path / f"x{i}").glob("*.xlsx")).read_bytes())
+    found = excel.scan_excel(spark, str(books)).drop("source_file").orderBy("b").collect()
+    assert [r.asDict() for r in found] == [{"a": "00", "b": "01", "c": None}, {"a": None, "b": "10", "c": "11"}]
 
 
 def test_append_counts_and_keeps(spark, people, tmp_path):
