@@ -132,8 +132,13 @@ def clean_features(df: DataFrame, columns: Sequence[str], target: str = TARGET)
 
 
 def split_flag(keys: Sequence[str], percent: int = TRAIN_PERCENT, seed: int = SEED):
-    """True for the training share. Decided by a hash of the row's key, so it survives retries and repartitioning."""
-    return F.pmod(F.xxhash64(*[F.col(k) for k in keys], F.lit(seed)), F.lit(100)) < percent
+    """True for the training share. Decided by a hash of the row's key, so it survives retries and repartitioning.
+
+    The hash is the first seven hex digits of the MD5 of the key's values and the seed, joined by commas, which other engines
+    know too; missing values count as empty.
+    """
+    key = F.concat_ws(",", *[F.coalesce(F.col(k).cast("string"), F.lit("")) for k in keys], F.lit(str(seed)))
+    return F.conv(F.substring(F.md5(key), 1, 7), 16, 10).cast("long") % 100 < percent
 
 
 def split(df: DataFrame, keys: Sequence[str], percent: int = TRAIN_PERCENT, seed: int = SEED) -> tuple[DataFrame, DataFrame]:
@@ -144,14 +149,14 @@ def split(df: DataFrame, keys: Sequence[str], percent: int = TRAIN_PERCENT, seed
 def estimator(kind: str, target: str = TARGET, **settings):
     """``linear``, ``forest`` or ``boosting``.
 
-    The forest looks at all features in every split, like the reference's. Its trees are limited to depth 10, which
-    settings can change; ``maxMemoryInMB`` lets one scan of the data grow more nodes.
+    The forest looks at all features in every split, like the reference's, and grows its trees as deep as Spark can
+    (``maxDepth`` 30; a smaller one is much faster); ``maxMemoryInMB`` lets one scan of the data grow more nodes.
     """
     base = {"featuresCol": FEATURES, "labelCol": target, "predictionCol": PREDICTION}
     if kind == "linear":
         return LinearRegression(**{**base, **settings})
     if kind == "forest":
-        forest = {"numTrees": TREES, "maxDepth": 10, "featureSubsetStrategy": "all", "maxMemoryInMB": 1024, "seed": SEED}
+        forest = {"numTrees": TREES, "maxDepth": 30, "featureSubsetStrategy": "all", "maxMemoryInMB": 1024, "seed": SEED}
         return RandomForestRegressor(**{**base, **forest, **settings})
     if kind == "boosting":
         return GBTRegressor(**{**base, **BOOSTING, "seed": SEED, **settings})

@@ -23,8 +23,8 @@ from pyspark.sql import functions as F
 from marketloom.session import durable
 
 HOT_ROWS = 500_000
-MAX_SEGMENTS = 20_000
-MAX_HOT_GROUPS = 100_000
+# More range partitions than this are a burden of their own; above 12.5 billion rows the segments grow.
+MAX_SEGMENTS = 200_000
 _NULL_SPREAD = 4096
 
 SEGMENT, HALO, SPREAD = "__segment", "__halo", "__spread"
@@ -53,25 +53,14 @@ def _spread_nulls(df: DataFrame, groups: Sequence[str], order: Sequence[str]) ->
 
 
 def hot_groups(df: DataFrame, groups: Sequence[str], hot_rows: int) -> tuple[DataFrame | None, int]:
-    """The largest groups above ``hot_rows`` rows and how many rows they hold together.
+    """The groups above ``hot_rows`` rows, as a stored table, and how many rows they hold together.
 
-    At most rows / hot_rows groups can be that large, and no more than MAX_HOT_GROUPS are taken; any beyond those take the
-    ordinary path, which is slower for them and just as right.
+    There are rows / hot_rows of them at most. The table is joined as its size asks for; nothing of it goes to the driver.
     """
-    found = (
-        df.where(has_group(groups))
-        .groupBy(*groups)
-        .agg(F.count(F.lit(1)).alias("__rows"))
-        .where(F.col("__rows") > hot_rows)
-        .orderBy(F.desc("__rows"))
-        .limit(MAX_HOT_GROUPS)
-        .collect()
-    )
-    if not found:
-        return None, 0
-    schema = df.select(*groups).schema
-    keys = df.sparkSession.createDataFrame([tuple(r[g] for g in groups) for r in found], schema)
-    return keys, sum(r["__rows"] for r in found)
+    counted = df.where(has_group(groups)).groupBy(*groups).agg(F.count(F.lit(1)).alias("__rows"))
+    found = durable(counted.where(F.col("__rows") > hot_rows), "hot-groups")
+    rows = found.agg(F.sum("__rows")).first()[0]
+    return (found.select(*groups), rows) if rows else (None, 0)
 
 
 def segmented(df: DataFrame, groups: Sequence[str], order: Sequence[str], rows: int, hot_rows: int) -> DataFrame:

@@ -14,15 +14,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-# Below this size per core a table may sit in one row group, which one task would read and process alone.
-_SMALL = 16 * 1024 * 1024
-
-
 def spread(df: DataFrame, key: str) -> DataFrame:
-    """Spread a small table over all cores by its key; a table with enough files for all cores is left as it is."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    return df.repartition(cores, key) if size < cores * _SMALL else df
+    """Spread a table by its key where the session asks for it: small test tables sit in one row group, which one task would read."""
+    wanted = df.sparkSession.conf.get("spark.marketloom.spread", "false") == "true"
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism, key) if wanted else df
 
 
 def sales(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -49,7 +49,9 @@ def _fit(s, d):
     def fit(kind, train, features):
         key = (s.sparkContext.applicationId, d, kind, tuple(features))
         if key not in _trained:
-            _trained[key] = m.fit(kind, train, features)
+            # Shallower trees than the default keep the queries short.
+            settings = {"maxDepth": 10} if kind == "forest" else {}
+            _trained[key] = m.fit(kind, train, features, **settings)
         return _trained[key]
 
     return fit
@@ -146,6 +148,19 @@ def _decompose(s, d):
     return out.withColumns({c: F.round(c, 2) for c in ("trend", "season", "rest")})
 
 
+def _one_feature(s, d):
+    """A regression that SQL can fit too."""
+    train, _ = m.split(sales(s, d).select(*KEYS, "quantity", TARGET), KEYS)
+    model = m.fit("linear", train.select(F.col("quantity").cast("double").alias("quantity"), TARGET), ["quantity"])
+    scored = m.predict(model, train.withColumn("quantity", F.col("quantity").cast("double")), ["quantity"])
+    return m.regression_metrics(scored).select(
+        "rows",
+        F.round(F.lit(float(model.coefficients[0])), 4).alias("slope"),
+        F.round(F.lit(float(model.intercept)), 2).alias("intercept"),
+        F.round("r2", 6).alias("r2"),
+    )
+
+
 QUERIES = {
     "ml_feature_list": lambda s, d: m.feature_list(_transformed(s, d), exclude=[*m.ID_COLUMNS, *KEYS]),
     "ml_fill": lambda s, d: m.fill_features(_gaps(s, d), FILLED),
@@ -155,6 +170,7 @@ QUERIES = {
     ),
     "ml_split": lambda s, d: sales(s, d).select(*KEYS, TARGET, m.split_flag(KEYS).cast("int").alias("is_train")),
     "linear_regression": _scored("linear"),
+    "linear_one_feature": _one_feature,
     "random_forest": _scored("forest"),
     "gradient_boosting": _scored("boosting"),
     "regression_metrics": _metrics,
@@ -177,6 +193,7 @@ QUERIES = {
         _series(s, d, ["category"]), ["category"], multiplicative=True
     ),
     "ar_forecast": lambda s, d: t.ar_forecast(_series(s, d)),
+    "ar_one_lag": lambda s, d: t.ar_forecast(_series(s, d), lags=1).withColumn("prediction", F.round("prediction", 2)),
     "seasonal_decompose": _decompose,
 }
 
@@ -208,7 +225,31 @@ def _on_series(select: str) -> str:
 
 _PREDICTED = f"""p AS (SELECT *, quantity * {mean('price', ' OVER (PARTITION BY category)')} AS prediction FROM sales)"""
 
+# The split in SQL: the same hash of the key.
+_KEY_HASH = "concat('0x', substr(md5(concat_ws(',', " + ", ".join(f"CAST({k} AS VARCHAR)" for k in KEYS) + f", '{m.SEED}')), 1, 7))"
+_IS_TRAIN = f"(CAST({_KEY_HASH} AS BIGINT) % 100 < {m.TRAIN_PERCENT})"
+
+
+def _range(column: str, part: str) -> str:
+    return f"""SELECT '{column}' AS "column", CAST(min({column}) AS DOUBLE) AS min, CAST(max({column}) AS DOUBLE) AS max,
+        count(*) - count({column}) AS missing, '{part}' AS part FROM g WHERE {'' if part == 'train' else 'NOT '}{_IS_TRAIN}"""
+
+
 ORACLES = {
+    "ml_split": on_sales(f"SELECT {_K}, total_amount, CAST({_IS_TRAIN} AS INTEGER) AS is_train FROM sales"),
+    "range_check": on_sales("").rstrip()
+    + f""", g AS (SELECT {_O}, customer_id, age, total_amount, {_LAG(1)}, {_LAG(7)}, CAST(NULL AS DOUBLE) AS empty FROM sales) """
+    + " UNION ALL ".join(_range(c, part) for c in FILLED for part in ("train", "test")),
+    "linear_one_feature": on_sales(f"""SELECT count(*) AS rows, round(regr_slope(total_amount, quantity), 4) AS slope,
+        round(regr_intercept(total_amount, quantity), 2) AS intercept, round(regr_r2(total_amount, quantity), 6) AS r2
+        FROM sales WHERE {_IS_TRAIN}"""),
+    "ar_one_lag": _on_series(
+        """, a AS (SELECT date, sales, lag(sales) OVER (ORDER BY date) AS b, sales - lag(sales) OVER (ORDER BY date) AS y,
+          CASE WHEN row_number() OVER (ORDER BY date) <= floor(0.8 * count(*) OVER ()) THEN 1 ELSE 0 END AS is_train FROM d),
+        l AS (SELECT *, lag(y) OVER (ORDER BY date) AS x FROM a),
+        f AS (SELECT regr_slope(y, x) AS slope, regr_intercept(y, x) AS base FROM l WHERE is_train = 1 AND x IS NOT NULL)
+        SELECT date, sales, CAST(is_train AS INTEGER) AS is_train, round(b + base + slope * x, 2) AS prediction FROM l, f WHERE x IS NOT NULL"""
+    ),
     "ml_fill": on_sales("").rstrip()
     + f""", g AS (SELECT {_O}, customer_id, age, total_amount, {_LAG(1)}, {_LAG(7)}, CAST(NULL AS DOUBLE) AS empty FROM sales)
       SELECT {_O}, customer_id, {', '.join(_median(c) for c in FILLED)}, total_amount FROM g""",

@@ -76,7 +76,18 @@ def _outliers(column: str) -> str:
 
 _REPORT_COLUMNS = [*KEYS, *WITH_GAPS]
 
+_TYPES = [
+    "string", "string", "string", "bigint", "string", "bigint", "double", "string", "string", "string", "string",
+    "bigint", "int", "bigint", "bigint", "double",
+]
+
 ORACLES = {
+    "shape_dtypes": on_raw(
+        "SELECT CAST(p AS INTEGER) AS position, c AS \"column\", t AS type, (SELECT count(*) FROM raw) AS row_count, "
+        f"CAST({len(_ALL)} AS INTEGER) AS column_count FROM (VALUES "
+        + ", ".join(f"({i}, '{c}', '{t}')" for i, (c, t) in enumerate(zip(_ALL, _TYPES, strict=True)))
+        + ") AS v(p, c, t)"
+    ),
     "missing_report": on_raw(
         _each(
             _ALL,

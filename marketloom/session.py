@@ -15,7 +15,11 @@ SETTINGS = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     # Only tables whose known size on disk is below this are broadcast.
     "spark.sql.autoBroadcastJoinThreshold": "64MB",
+    # Dictionary-coded columns are larger in memory than on disk; the size that decides about a broadcast allows for it.
+    "spark.sql.sources.fileCompressionFactor": "3",
 }
+# On a cluster a shuffle starts with many partitions, which AQE merges to the size it wants; it never splits ordinary ones.
+CLUSTER_SETTINGS = {"spark.sql.adaptive.coalescePartitions.initialPartitionNum": "8192"}
 
 
 def build_session(app: str = "marketloom", master: str | None = None, **settings: str) -> SparkSession:
@@ -23,7 +27,8 @@ def build_session(app: str = "marketloom", master: str | None = None, **settings
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    for key, value in {**SETTINGS, **{k.replace("__", "."): v for k, v in settings.items()}}.items():
+    cluster = {} if master and master.startswith("local") else CLUSTER_SETTINGS
+    for key, value in {**SETTINGS, **cluster, **{k.replace("__", "."): v for k, v in settings.items()}}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 
@@ -48,6 +53,12 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark)}/{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"
 
 
+def drop_durable(spark: SparkSession) -> None:
+    """Delete the intermediate tables of this application, when its jobs are done."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_folder(spark)}/{spark.sparkContext.applicationId}")
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def durable(df: DataFrame, label: str = "table") -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 

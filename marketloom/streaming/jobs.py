@@ -32,6 +32,33 @@ def append(stream: DataFrame, target: str, checkpoint: str) -> StreamingQuery:
     )
 
 
+def upsert(stream: DataFrame, target: str, checkpoint: str) -> StreamingQuery:
+    """Write the rows that a stream updates, one folder per micro-batch; a batch that runs again replaces its folder.
+
+    ``current`` reads the table. In update mode windows appear as soon as they have rows, also the last ones, which a watermark
+    never passes.
+    """
+
+    def write(batch: DataFrame, number: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{target}/batch={number}")
+
+    return (
+        stream.writeStream.foreachBatch(write)
+        .option("checkpointLocation", checkpoint)
+        .outputMode("update")
+        .trigger(availableNow=True)
+        .start()
+    )
+
+
+def current(spark: SparkSession, target: str, keys: list[str]) -> DataFrame:
+    """The newest version of every row of an ``upsert`` table."""
+    rows = spark.read.parquet(target)
+    values = [c for c in rows.columns if c not in keys and c != "batch"]
+    newest = rows.groupBy(*keys).agg(F.max_by(F.struct(*values), "batch").alias("__row"))
+    return newest.select(*keys, "__row.*")
+
+
 def windowed_kpis(
     stream: DataFrame,
     timestamp: str,
@@ -42,6 +69,8 @@ def windowed_kpis(
 ) -> DataFrame:
     """Sales, transactions and mean per tumbling window; a window is final once the watermark has passed it.
 
+    Written with ``append`` only final windows appear; ``upsert`` writes all of them.
+
     Streams cannot count distinct values exactly; with ``customer`` the count is approximate.
     """
     measures = [

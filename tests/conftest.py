@@ -10,6 +10,7 @@ def spark():
     settings = {
         "spark.sql.shuffle.partitions": "4",
         "spark.ui.enabled": "false",
+        "spark.marketloom.spread": "true",
         "spark.driver.memory": "6g",
         "spark.checkpoint.dir": tempfile.mkdtemp(prefix="marketloom-test-"),
     }
