@@ -59,9 +59,15 @@ def test_text(spark):
 def test_types(spark):
     df = spark.createDataFrame([("1", "x", 2.5, "2021-02-03"), ("1.0", "2.5", 3.0, "no"), ("1.5", "nan", None, None)], "a string, b string, c double, d string")
     out = c.coerce_types(df, {"a": "int", "b": "float64", "c": "int64", "d": "datetime", "absent": "str"}).collect()
-    assert [r.a for r in out] == [1, 1, None]
+    # A fraction keeps the whole column from becoming an integer one.
+    assert [r.a for r in out] == [1.0, 1.0, 1.5]
     assert [r.b for r in out] == [None, 2.5, None]
-    assert [r.c for r in out] == [None, 3, None]
+    assert [r.c for r in out] == [2.5, 3.0, None]
+    whole = spark.createDataFrame([("1", 2.0), ("1.0", 3.0), ("x", None)], "a string, c double")
+    typed = c.coerce_types(whole, {"a": "int", "c": "int64"})
+    assert [tuple(r) for r in typed.collect()] == [(1, 2), (1, 3), (None, None)]
+    assert [t for _, t in typed.dtypes] == ["bigint", "bigint"]
+    assert {r["column"]: r.lost for r in c.coercion_losses(whole, typed).collect()} == {"a": 1, "c": 0}
     assert [r.d for r in out] == [dt.datetime(2021, 2, 3), None, None]
     with pytest.raises(ValueError):
         c.coerce_types(df, {"a": "complex"})
@@ -138,3 +144,24 @@ def test_reports(spark):
     status = {r.column: r.status for r in profiling.schema_check(df, ["s", "x", "y"]).collect()}
     assert status == {"s": "moved", "x": "moved", "y": "missing"}
     assert profiling.missing_report(df.limit(0)).first().missing_percent is None
+
+
+def test_general_statistics_of_any_size(spark):
+    from marketloom.operators import profiling as p
+
+    df = spark.createDataFrame([(1e-5, 1e15, 2.0), (2e-5, 3e15, float("inf")), (4e-5, 5e15, 4.0)], "t double, h double, i double")
+    rows = {r["column"]: r for r in p.describe_numeric(df, ["t", "h", "i"]).collect()}
+    assert rows["t"]["mean"] == pytest.approx(7e-5 / 3) and rows["h"]["mean"] == 3e15 and rows["i"]["mean"] == float("inf")
+    fills = c.numeric_fills(df, ["t", "h"], "mean")
+    assert fills["t"] == pytest.approx(7e-5 / 3) and fills["h"] == 3e15
+    bounds = c.zscore_bounds(df, ["t"], 1.0)["t"]
+    assert bounds.low < 7e-5 / 3 < bounds.high and bounds.low > 0
+
+
+def test_all_numeric_columns_are_imputed_but_keys(spark):
+    raw = spark.createDataFrame([GOLDEN, GOLDEN], RAW_SALES)
+    raw = raw.withColumn("line", F.monotonically_increasing_id()).withColumn("discount", F.lit(None).cast("double"))
+    more = raw.withColumn("discount", F.when(F.col("line") % 2 == 0, 0.5)).unionByName(raw.withColumn("discount", F.lit(0.25)))
+    out = clean_sales(more, keys=["line"])
+    assert out.where("discount is null").count() == 0
+    assert out.schema["line"].dataType.typeName() == "long"
