@@ -22,6 +22,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -135,7 +136,7 @@ def fit(
     def cluster(group: pd.DataFrame) -> pd.DataFrame:
         texts = sorted(t for t in group["text"] if has_letter(t))
         if not texts:
-            return pd.DataFrame({"lang": [], "centre": [], "least": []})
+            return pd.DataFrame({"lang": [], "centre": [], "least": []}, dtype=object)
         grams = [gram_counts(t) for t in texts]
         vectors = np.array([_vector(c, idf) for c in grams])
         centres = _centroids(vectors, k)
@@ -160,10 +161,12 @@ def identify(docs: DataFrame, model: LanguageModel, text_col: str = "text") -> C
     """Struct column (lang, score, rejected) for ``docs``."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
-    @F.pandas_udf("lang string, score double, rejected boolean")
-    def of(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    # Arrow arrays are read text by text: a batch is not copied into Python objects as a whole.
+    @F.arrow_udf("lang string, score double, rejected boolean")
+    def of(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in texts:
-            langs, scores, rejected = shared.value.predict(batch)
-            yield pd.DataFrame({"lang": langs, "score": scores, "rejected": rejected})
+            langs, scores, rejected = shared.value.predict(t.as_py() for t in batch)
+            columns = [pa.array(langs, pa.string()), pa.array(scores, pa.float64()), pa.array(rejected, pa.bool_())]
+            yield pa.StructArray.from_arrays(columns, ["lang", "score", "rejected"])
 
     return of(F.col(text_col))

@@ -31,6 +31,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -40,7 +41,7 @@ from marketloom.session import durable
 BITS, SHINGLE, MAX_BITS = 64, 3, 3
 SEED = 42
 #: Fingerprints that are compared with each other in one task.
-BUCKET = 2_000
+BUCKET = 20_000
 _STEP = 1 << 16
 _LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 
@@ -69,10 +70,11 @@ def simhash(text: str | None, shingle: int = SHINGLE) -> int:
 def fingerprints(text: Column, shingle: int = SHINGLE) -> Column:
     """The fingerprint of each text as a (signed) long."""
 
-    @F.pandas_udf("long")
-    def of(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    # Arrow arrays are read text by text: a batch is not copied into Python objects as a whole.
+    @F.arrow_udf("long")
+    def of(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in texts:
-            yield pd.Series(np.array([simhash(t, shingle) for t in batch], np.uint64).view(np.int64))
+            yield pa.array(np.array([simhash(t.as_py(), shingle) for t in batch], np.uint64).view(np.int64))
 
     return of(text)
 
