@@ -32,6 +32,11 @@ def held_out(doc_id: Column, modulus: int, remainder: int) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % modulus == remainder
 
 
+def bucket_count(rows: int) -> int:
+    """Buckets for ``ranked``: about 500 rows each, and more on large tables, where one task sums up all buckets of a group."""
+    return max(1, min(rows // 500, 10_000), rows // 50_000)
+
+
 def ranked(
     df: DataFrame,
     groups: Sequence[str],

@@ -27,11 +27,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from marketloom.llm.common import ranked
+from marketloom.llm.common import bucket_count, ranked
 
 RESOLUTION, BLOCK_BYTES, POWER = 1000, 16_384, 0.8
-#: Rows of a source that one task puts in order.
-TASK_ROWS = 20_000
 SCHEDULE = ["size", "offset", "epoch", "block", "release", "deadline", "position"]
 
 
@@ -114,7 +112,7 @@ def schedule(
     sources = sources.withColumnRenamed("__index", "__own").drop("__whole", "__part")
 
     order = F.xxhash64(F.col(id_col), F.lit("mix"))
-    buckets = max(1, sum(t["rows"] for t in totals) // TASK_ROWS)
+    buckets = bucket_count(sum(t["rows"] for t in totals))
     rows = rows.withColumn("__order", order).withColumn("__bucket", F.pmod("__order", F.lit(buckets)).cast("int"))
     rows = ranked(rows, [source_col], "__bucket", [F.col("__order"), F.col(id_col), F.col("size")], "offset", F.col("size"))
     # Both tables have ``resolution`` rows at most.
@@ -137,8 +135,11 @@ def schedule(
     )
 
 
-def mixed(docs: DataFrame, text_col: str = "text", **options) -> DataFrame:
+def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **options) -> DataFrame:
     """``docs`` in the order of the mix: range-partitioned and sorted by position, so that written files hold that order."""
-    rows = schedule(docs, size_of(F.col(text_col)), **options)
+    rows = docs.select(
+        F.struct("*").alias("__row"), size_of(F.col(text_col)).alias("__size"), F.col(id_col).alias("__id"), F.col(source_col).alias("__src")
+    )
+    rows = schedule(rows, F.col("__size"), id_col="__id", source_col="__src", **options)
     order = ["position", "offset"]
-    return rows.repartitionByRange(*order).sortWithinPartitions(*order).select(*[F.col(f"`{c}`") for c in docs.columns])
+    return rows.repartitionByRange(*order).sortWithinPartitions(*order).select("__row.*")

@@ -20,12 +20,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from marketloom.llm.common import ranked
+from marketloom.llm.common import bucket_count, ranked
 from marketloom.session import durable
 
 START, END = "<|im_start|>", "<|im_end|>"
 _TURNS = "array<struct<turn:bigint,role:string,text:string>>"
-TASK_ROWS = 20_000
 
 
 def conversations(turns: DataFrame, id_col: str = "conv_id") -> DataFrame:
@@ -107,7 +106,7 @@ def mismatched(turns: DataFrame) -> DataFrame:
     convs = convs.withColumn("last", F.when(F.array_contains(is_reply, True), last).cast("int"))
     replies = convs.where("last is not null").select("conv", F.element_at("turns", F.col("last"))["text"].alias("reply"))
     n = replies.count()
-    buckets = max(1, n // TASK_ROWS)
+    buckets = bucket_count(n)
     order = F.xxhash64("conv", F.lit("ring"))
     replies = replies.withColumn("__order", order).withColumn("__bucket", F.pmod("__order", F.lit(buckets)).cast("int"))
     placed = durable(ranked(replies, [], "__bucket", [F.col("__order"), F.col("conv")], "place"), "replies")

@@ -21,17 +21,18 @@ columns of the input are not read.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from marketloom.llm.common import ranked
+from marketloom.llm.common import bucket_count, ranked
 from marketloom.session import durable
 
 SHARDS = 24
-ROUNDS = 8
+ROUNDS, SLACK = 12, 0.05
 BUCKETS = 512
-#: Rows that one task numbers, and the documents of a key that move together at most (about).
-TASK_ROWS = 20_000
+#: The documents of a key that move together at most (about).
 CHUNK_ROWS = 1_000
 
 
@@ -57,60 +58,82 @@ def _tie(shard: Column) -> Column:
     return F.xxhash64("key", shard)
 
 
-def _with_room(shard: Column, room: list[int]) -> Column:
-    return F.element_at(F.array(*[F.lit(r).cast("long") for r in room]), shard + 1)
+def _grants(asked: list[tuple[int, int, int]], room: list[int]) -> list[tuple[int, int, int]]:
+    """(from, to, rows) that may move, for the rows that ask to (shards x shards numbers): swaps first, then into free room,
+    which a move frees up in turn where it comes from."""
+    want = {(a, b): n for a, b, n in asked}
+    given = {(a, b): min(n, want.get((b, a), 0)) for (a, b), n in want.items()}
+    room = list(room)
+    while True:
+        moved = 0
+        for (a, b), n in sorted(want.items()):
+            more = min(n - given[a, b], room[b])
+            if more > 0:
+                given[a, b] += more
+                room[b] -= more
+                if a >= 0:
+                    room[a] += more
+                moved += more
+        if not moved:
+            return [(a, b, n) for (a, b), n in given.items() if n]
 
 
 def propagate(units: DataFrame, quotas: list[int], rounds: int = ROUNDS) -> DataFrame:
-    """``units`` (key, chunk, origin, n) with the column ``shard``; no shard gets more than its quota."""
-    shards = len(quotas)
-    # The first placement may exceed a quota only if nearly everything is linked: such units wait without a shard (-1).
+    """``units`` (key, chunk, origin, n) with the column ``shard``; -1 is no shard yet.
+
+    A shard may hold SLACK more than its quota meanwhile, which keeps moves possible when nearly everything is linked; what is
+    above the quota in the end is dealt out with the documents that have no links.
+    """
+    shards = F.array(*[F.lit(i) for i in range(len(quotas))])
+    # The first placement may exceed a quota only if nearly everything is linked: such units wait.
     state = _admit(units.withColumn("shard", F.lit(-1)).withColumn("target", F.col("origin")), quotas)
-    for _ in range(rounds):
+    swaps = False
+    for number in range(rounds):
         held = {r["shard"]: r["n"] for r in state.groupBy("shard").agg(F.sum("n").alias("n")).collect()}  # a row a shard
-        room = [q - held.get(i, 0) for i, q in enumerate(quotas)]
+        room = [max(0, math.ceil(q * (1 + SLACK)) - held.get(i, 0)) for i, q in enumerate(quotas)]
         votes = state.groupBy("key", "shard").agg(F.sum("n").alias("votes"))
-        free = (F.col("shard") >= 0) & (_with_room(F.greatest("shard", F.lit(0)), room) > 0)
+        # Once open shards draw no more, a round asks for full ones too, where only a swap can help.
+        open_shards = [i for i, q in enumerate(quotas) if swaps or held.get(i, 0) < q]
+        free = F.array_contains(F.array(*[F.lit(i) for i in open_shards]).cast("array<int>"), F.col("shard"))
         named = F.struct(F.col("votes"), _tie(F.col("shard")).alias("tie"), F.col("shard").alias("target"))
-        best = votes.groupBy("key").agg(
-            F.max(F.when(free, named)).alias("best"), F.collect_list(F.struct("shard", "votes")).alias("by_shard")
-        )
-        asked = state.join(best, "key")
-        here = F.aggregate(
-            "by_shard", F.lit(0).cast("long"), lambda a, x: F.when(x["shard"] == F.col("shard"), x["votes"]).otherwise(a)
+        best = votes.groupBy("key").agg(F.max(F.when(free, named)).alias("best"))
+        here = votes.select("key", "shard", F.col("votes").alias("here"))
+        asked = state.join(here, ["key", "shard"]).join(best, "key")
+        better = (F.col("best.votes") > F.col("here")) | (
+            (F.col("best.votes") == F.col("here")) & (F.col("best.tie") > _tie(F.col("shard")))
         )
-        better = (F.col("best.votes") > here) | (
-            (F.col("best.votes") == here) & (F.col("best.tie") > _tie(F.col("shard")))
-        )
-        target = F.when((F.col("shard") < 0) | better, F.col("best.target"))
-        asked = asked.withColumn("target", F.when(target != F.col("shard"), target)).drop("best", "by_shard")
-        # A unit without a shard whose key has no shard with room asks for any shard: the next one in a hashed order.
-        anywhere = F.array(*[F.lit(i) for i, r in enumerate(room) if r > 0] or [F.lit(0)])
-        pick = F.element_at(anywhere, (F.pmod(F.xxhash64("key", "chunk"), F.size(anywhere)) + 1).cast("int"))
-        asked = asked.withColumn("target", F.coalesce("target", F.when(F.col("shard") < 0, pick)))
-        before = state
+        # A unit without a shard whose key has no open one asks for the next shard in a hashed order.
+        anywhere = F.element_at(shards, (F.pmod(F.xxhash64("key", "chunk", F.lit(number)), F.lit(len(quotas))) + 1).cast("int"))
+        target = F.when(F.col("shard") < 0, F.coalesce("best.target", anywhere)).when(better, F.col("best.target"))
+        asked = asked.withColumn("target", F.when(target != F.col("shard"), target)).drop("best", "here")
         state = _admit(asked, room)
-        moved = state.join(before.select("key", "chunk", "origin", F.col("shard").alias("was")), ["key", "chunk", "origin"])
-        if moved.where(F.col("was") != F.col("shard")).isEmpty():
+        idle = state.where("moved").isEmpty()
+        if idle and (swaps or len(open_shards) == len(quotas)):
             break
+        swaps = idle
     return state
 
 
 def _admit(asked: DataFrame, room: list[int]) -> DataFrame:
-    """Moves units to their ``target`` in a hashed order of keys while the target has room; a stored table."""
-    asked = durable(asked.withColumn("bucket", F.pmod(F.xxhash64("key", "chunk"), F.lit(BUCKETS)).cast("int")), "asked")
+    """Moves units to their ``target`` in a hashed order of keys, as far as the shards' room and swaps allow; a stored table."""
+    spark = asked.sparkSession
+    asked = durable(asked.drop("moved").withColumn("bucket", F.pmod(F.xxhash64("key", "chunk"), F.lit(BUCKETS)).cast("int")), "asked")
     moves = asked.where(F.col("target").isNotNull())
-    sums = moves.groupBy("target", "bucket").agg(F.sum("n").alias("sum"))  # shards x BUCKETS rows at most
-    along = Window.partitionBy("target").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    sums = sums.withColumn("before", F.coalesce(F.sum("sum").over(along), F.lit(0))).drop("sum")
-    inside = Window.partitionBy("target", "bucket").orderBy("key", "chunk", "origin")
+    wanted = moves.groupBy("shard", "target").agg(F.sum("n").alias("n")).collect()  # shards x shards rows at most
+    grants = spark.createDataFrame(_grants([tuple(r) for r in wanted], room), "shard int, target int, grant long")
+    pair = ["shard", "target"]
+    sums = moves.groupBy(*pair, "bucket").agg(F.sum("n").alias("sum"))
+    along = Window.partitionBy(*pair).orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+    sums = sums.withColumn("before", F.coalesce(F.sum("sum").over(along), F.lit(0))).drop("sum").join(grants, pair)
+    inside = Window.partitionBy(*pair, "bucket").orderBy("key", "chunk", "origin")
     run = F.sum("n").over(inside.rowsBetween(Window.unboundedPreceding, 0))
-    taken = moves.withColumn("run", run).join(F.broadcast(sums), ["target", "bucket"])
-    fits = F.col("before") + F.col("run") <= _with_room(F.col("target"), room)
-    settled = taken.withColumn("shard", F.when(fits, F.col("target")).otherwise(F.col("shard")))
-    columns = ["key", "chunk", "origin", "n", "shard"]
-    stay = asked.where(F.col("target").isNull()).select(columns)
-    return durable(settled.select(columns).unionByName(stay), "units")
+    # shards x shards x BUCKETS rows at most, and no more than there are requests.
+    taken = moves.withColumn("run", run).join(sums, [*pair, "bucket"], "left")
+    fits = F.coalesce(F.col("before") + F.col("run") <= F.col("grant"), F.lit(False))
+    settled = taken.withColumn("shard", F.when(fits, F.col("target")).otherwise(F.col("shard"))).withColumn("moved", fits)
+    columns = ["key", "chunk", "origin", "n", "shard", "moved"]
+    stay = asked.where(F.col("target").isNull()).withColumn("moved", F.lit(False))
+    return durable(settled.select(columns).unionByName(stay.select(columns)), "units")
 
 
 def shard_documents(rows: DataFrame, shards: int = SHARDS, rounds: int = ROUNDS) -> DataFrame:
@@ -128,18 +151,18 @@ def shard_documents(rows: DataFrame, shards: int = SHARDS, rounds: int = ROUNDS)
     homes = placed.where("shard >= 0").select("key", "chunk", "origin", "shard")
     homed = durable(members.join(homes, ["key", "chunk", "origin"], "left"), "homed")
 
-    # Documents without links, and the rare units that found no room, fill the shards up.
-    settled = homed.where("shard is not null")
-    held = {r["shard"]: r["n"] for r in settled.groupBy("shard").agg(F.count(F.lit(1)).alias("n")).collect()}
-    buckets = max(1, total // TASK_ROWS)
+    # Documents without links, and the few linked ones that found no room, fill the shards up.
+    buckets = bucket_count(total)
     bucket = F.pmod(F.xxhash64("key", "chunk"), F.lit(buckets)).cast("int")
     names = ["id", "size", "text_crc32", "key", "row"]
-    settled = ranked(
-        settled.select(*names, "shard", bucket.alias("bucket")), ["shard"], "bucket", [F.col("key"), F.col("row")], "slot"
-    )
+    settled = homed.where("shard is not null").select(*names, "shard", bucket.alias("bucket"))
+    settled = durable(ranked(settled, ["shard"], "bucket", [F.col("key"), F.col("row")], "slot"), "settled")
+    quota = F.element_at(F.array(*[F.lit(q) for q in quotas]), F.col("shard") + 1)
     rest = single.select(names).unionByName(homed.where("shard is null").select(names))
+    rest = rest.unionByName(settled.where(F.col("slot") >= quota).select(names))
+    settled = settled.where(F.col("slot") < quota)
+    held = {r["shard"]: r["n"] for r in settled.groupBy("shard").agg(F.count(F.lit(1)).alias("n")).collect()}  # a row a shard
     rest = rest.withColumn("bucket", F.pmod(F.xxhash64("row", F.lit("fill")), F.lit(buckets)).cast("int"))
-    # The buckets of the filling order are dealt in groups, so that no task holds them all.
     rest = ranked(rest, [], "bucket", [F.col("row")], "place")
     first, place, slot = 0, F.col("place"), None
     shard = None
