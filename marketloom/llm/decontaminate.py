@@ -124,7 +124,7 @@ def contamination(
 
     suspects = scanned.where("found = 1").select(F.col("doc").alias("__doc"), F.col("text_hash").alias("__hash")).distinct()
     same = F.col("doc").eqNullSafe(F.col("__doc")) & (F.col("text_hash") == F.col("__hash"))
-    again = rows.join(suspects, same, "left_semi").dropDuplicates(["doc", "text_hash"])
+    again = rows.join(suspects, same, "left_semi")
     again = again.withColumn("words", words(F.col("text"))).withColumn("n", F.size("words"))
     every = F.array().cast("array<struct<start:int,length:int,window:string>>")
     for length in lengths:
@@ -132,7 +132,8 @@ def contamination(
     every = again.select("doc", "text_hash", F.explode(every).alias("w")).select("doc", "text_hash", "w.*")
     texts = windows.select("length", "window").distinct()
     bounded = windows.count() <= BROADCAST_ROWS // 16
-    hits = durable(every.join(F.broadcast(texts) if bounded else texts, ["length", "window"]), "hits")
+    # Repeated documents have the same hits.
+    hits = durable(every.join(F.broadcast(texts) if bounded else texts, ["length", "window"]).distinct(), "hits")
 
     along = Window.partitionBy("doc", "text_hash").orderBy("start", F.desc("length"))
     reach = F.max(F.col("start") + F.col("length")).over(along.rowsBetween(Window.unboundedPreceding, -1))
