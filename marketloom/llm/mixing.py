@@ -6,9 +6,10 @@ is released at slot floor(k / w) and must be placed before its deadline ceil((k
 with the earliest deadline is placed (ties: the first source by name). With weights that add up to 1 all deadlines are met, so
 after any number of slots a source is less than one block away from its weight.
 
-Weights are whole shares of ``resolution`` slots (largest remainders, one share at least), so the schedule repeats after
-``resolution`` slots: one such cycle is worked out, as an expression over one row, and every block finds its slot from its
-number by a join with the cycle. Nothing runs through the blocks one by one, whatever their number is.
+Weights are whole shares of ``resolution`` (2**31: a weight is met to 1/2**31, and the least one is that), so rounding moves a source
+by less than a block in two thousand million slots. The driver goes through the slots once with two heaps (a few microseconds a
+slot, a slot is ``block_bytes`` of text) and keeps 8 bytes a slot; every block finds its slot by its number in a broadcast table of
+these (1/2000 of the text). If the shares repeat sooner (they have a common divisor), only one cycle is worked out.
 
 The mix ends when every source has been read whole once. Sources whose weight is above their share of the data are
 read again by then (``epoch`` counts from 0), so no document is left out and the weights hold to the end.
@@ -17,19 +18,25 @@ Without given weights a source's is its bytes to the power of ``power``, which r
 not add up to 1; every source of the table needs one.
 
 Defined results: documents without a source are a source of their own (null); missing and empty texts have size 8; repeated
-rows are rows of their own, in any order among themselves; an empty table gives no rows. More sources than ``resolution``, and
-a source without a positive weight, raise ValueError. Columns of the input keep their names; columns of the schedule replace
+rows are rows of their own, in any order among themselves; an empty table gives no rows. More sources than ``resolution``,
+a source without a positive weight, and a mix of over 2**32 slots raise ValueError. Columns of the input keep their names; columns of the schedule replace
 columns of the same name.
 """
 
 from __future__ import annotations
 
+import heapq
+import math
+
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from marketloom.llm.common import bucket_count, ranked
 
-RESOLUTION, BLOCK_BYTES, POWER = 1000, 16_384, 0.8
+RESOLUTION, BLOCK_BYTES, POWER = 1 << 31, 16_384, 0.8
+#: Slots of one row of the broadcast table.
+PART = 4096
 SCHEDULE = ["size", "offset", "epoch", "block", "release", "deadline", "position"]
 
 
@@ -55,7 +62,7 @@ def shares(weights: list[float], resolution: int) -> list[int]:
 
 
 def cycle(spark, parts: list[int]) -> DataFrame:
-    """(index, k, slot): where the k-th block of each source stands in one cycle; sum(parts) rows."""
+    """(index, k, slot): where the k-th block of each source stands in one cycle, as an expression; sum(parts) rows, for small sums."""
     total = sum(parts)
     weights = F.array(*[F.lit(p) for p in parts])
     none = F.array().cast("array<struct<slot:int,index:int,k:int>>")
@@ -77,6 +84,26 @@ def cycle(spark, parts: list[int]) -> DataFrame:
     return one.select(F.explode("state.placed").alias("x")).select("x.index", "x.k", "x.slot")
 
 
+def slots(parts: list[int], length: int) -> list[np.ndarray]:
+    """The slots below ``length`` of each source's blocks, earliest deadline first, for weights ``parts`` / sum(parts)."""
+    total = sum(parts)
+    owner = np.empty(length, np.int32)
+    done = [0] * len(parts)
+    ready = [(-(-total // p), i) for i, p in enumerate(parts)]
+    heapq.heapify(ready)
+    later: list[tuple[int, int]] = []
+    for t in range(length):
+        while later and later[0][0] <= t:
+            i = heapq.heappop(later)[1]
+            heapq.heappush(ready, (-(-(done[i] + 1) * total // parts[i]), i))
+        i = heapq.heappop(ready)[1]
+        owner[t] = i
+        done[i] += 1
+        heapq.heappush(later, (done[i] * total // parts[i], i))
+    order = np.argsort(owner, kind="stable")
+    return np.split(order, np.cumsum(done)[:-1])
+
+
 def schedule(
     docs: DataFrame,
     size: Column,
@@ -93,45 +120,52 @@ def schedule(
     kept = [c for c in docs.columns if c not in SCHEDULE]
     rows = docs.withColumn("size", size).select(*[F.col(f"`{c}`") for c in kept], "size")
     totals = rows.groupBy(F.col(source_col).alias("source")).agg(F.sum("size").alias("bytes"), F.count(F.lit(1)).alias("rows"))
-    totals = totals.orderBy(F.col("source").asc_nulls_last()).limit(resolution + 1).collect()  # more raise an error
+    totals = totals.orderBy(F.col("source").asc_nulls_last()).collect()
     if not totals:
         empty = rows.withColumn("offset", F.lit(0).cast("long")).withColumn("epoch", F.lit(0).cast("long"))
         return empty.withColumns({c: F.lit(0).cast("long") for c in SCHEDULE[3:]}).select(*kept, *SCHEDULE)
     wanted = [float(t["bytes"]) ** power if weights is None else weights.get(t["source"], 0.0) for t in totals]
     parts = shares(wanted, resolution)
     blocks = [-(-t["bytes"] // block_bytes) for t in totals]
-    length = max(-(-n * resolution // p) for n, p in zip(blocks, parts, strict=True))
-    plan = cycle(spark, parts)  # ``resolution`` rows
+    common = math.gcd(*parts)
+    parts, total = [p // common for p in parts], resolution // common
+    length = max(-(-n * total // p) for n, p in zip(blocks, parts, strict=True))
+    if length > 1 << 32:
+        raise ValueError(f"{length} slots need larger blocks or a weight nearer to its source's bytes")
+    found = slots(parts, min(length, total))
+    whole, rest = divmod(length, total)
+    placed = [whole * p + int(np.searchsorted(own, rest)) if whole else len(own) for p, own in zip(parts, found, strict=True)]
     sources = spark.createDataFrame(
-        [(i, t["source"], p, n, length // resolution * p) for i, (t, p, n) in enumerate(zip(totals, parts, blocks, strict=True))],
-        "__index int, __source string, __share long, __blocks long, __whole long",
+        [(i, t["source"], p, n, m) for i, (t, p, n, m) in enumerate(zip(totals, parts, blocks, placed, strict=True))],
+        "__own int, __source string, __share long, __blocks long, __placed long",
+    )
+    plan = spark.createDataFrame(
+        [(i, k // PART, own[k : k + PART].tolist()) for i, own in enumerate(found) for k in range(0, len(own), PART)],
+        "__index int, __part long, __slots array<long>",
     )
-    plan = plan.select(F.col("index").alias("__index"), F.col("k").cast("long").alias("__k"), F.col("slot").alias("__slot"))
-    part = plan.where(F.col("__slot") < length % resolution).groupBy("__index").agg(F.count(F.lit(1)).alias("__part"))
-    sources = sources.join(part, "__index", "left").withColumn("__placed", F.col("__whole") + F.coalesce("__part", F.lit(0)))
-    sources = sources.withColumnRenamed("__index", "__own").drop("__whole", "__part")
 
     order = F.xxhash64(F.col(id_col), F.lit("mix"))
     buckets = bucket_count(sum(t["rows"] for t in totals))
     rows = rows.withColumn("__order", order).withColumn("__bucket", F.pmod("__order", F.lit(buckets)).cast("int"))
     rows = ranked(rows, [source_col], "__bucket", [F.col("__order"), F.col(id_col), F.col("size")], "offset", F.col("size"))
-    # Both tables have ``resolution`` rows at most.
+    # One row a source here, 8 bytes a slot below.
     rows = rows.join(F.broadcast(sources), F.col(source_col).eqNullSafe(F.col("__source")))
     rows = rows.withColumn("__first", F.floor(F.col("offset") / F.lit(block_bytes)).cast("long"))
     last = F.floor((F.col("__placed") - 1 - F.col("__first")) / F.col("__blocks")).cast("long")
     rows = rows.withColumn("epoch", F.explode(F.sequence(F.lit(0).cast("long"), last)))
     rows = rows.withColumn("block", F.col("__first") + F.col("epoch") * F.col("__blocks"))
-    turn = (F.col("__own") == F.col("__index")) & (F.col("block") % F.col("__share") == F.col("__k"))
-    rows = rows.join(F.broadcast(plan), turn)
+    # Whole numbers only: a quotient of longs would be a double.
+    turn = F.expr(f"block % __share div {PART}")
+    rows = rows.join(F.broadcast(plan), (F.col("__own") == F.col("__index")) & (turn == F.col("__part")))
     return rows.select(
         *[F.col(f"`{c}`") for c in kept],
         "size",
         "offset",
         "epoch",
         "block",
-        F.floor(F.col("block") * resolution / F.col("__share")).cast("long").alias("release"),
-        F.ceil((F.col("block") + 1) * resolution / F.col("__share")).cast("long").alias("deadline"),
-        (F.floor(F.col("block") / F.col("__share")).cast("long") * resolution + F.col("__slot")).alias("position"),
+        F.expr(f"block * {total}L div __share").alias("release"),
+        F.expr(f"((block + 1) * {total}L + __share - 1) div __share").alias("deadline"),
+        F.expr(f"block div __share * {total}L + __slots[int(block % __share % {PART})]").alias("position"),
     )
 
 

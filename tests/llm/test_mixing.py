@@ -3,7 +3,7 @@ from collections import Counter, defaultdict
 import pytest
 from pyspark.sql import functions as F
 
-from marketloom.llm.mixing import cycle, mixed, schedule, shares, size_of
+from marketloom.llm.mixing import RESOLUTION, cycle, mixed, schedule, shares, size_of, slots
 from tests.llm.frames import docs_of, edge_rows, empty_docs
 
 
@@ -91,3 +91,24 @@ def test_mixed_returns_the_rows_in_order(spark):
 def test_no_python_on_the_way(spark):
     plan = schedule(docs_of(spark, edge_rows()), size_of(F.col("text")))._jdf.queryExecution().toString()
     assert "Python" not in plan and "Pandas" not in plan
+
+
+@pytest.mark.parametrize("weights", [[0.4, 0.3, 0.1, 0.07, 0.05, 0.03, 0.02, 0.0171, 0.0129], [1 / 3, 0.3, 0.2, *[0.0003 + i * 1e-7 for i in range(300)]]])
+def test_a_long_mix_keeps_to_the_given_weights(weights):
+    length, whole = 200_000, sum(weights)
+    found = slots(shares(weights, RESOLUTION), length)
+    assert sum(map(len, found)) == length
+    for w, own in zip(weights, found, strict=True):
+        # Just before and just after each of its blocks a source is furthest from its weight.
+        k = range(len(own))
+        assert all(abs(k_ - w / whole * t) < 1.01 and abs(k_ + 1 - w / whole * (t + 1)) < 1.01 for k_, t in zip(k, own.tolist(), strict=True))
+        assert abs(len(own) - w / whole * length) < 1.01
+
+
+def test_more_sources_than_a_thousand_and_a_hot_one(spark):
+    rows = [(i, "x" * 92, "en", "hot") for i in range(6000)] + [(6000 + i, "x" * 92, "en", f"s{i:04}") for i in range(1100)]
+    out = run(spark, rows, block_bytes=100, power=1.0)
+    # Weights are the bytes, so all are read once; a weight's last bit may add a slot.
+    assert 7100 <= len(out) <= 7102 and {r.doc_id for r in out if r.epoch == 0} == set(range(7100))
+    assert sorted(r.position for r in out) == list(range(len(out)))
+    assert all(r.release <= r.position < r.deadline for r in out)
