@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -12,6 +13,11 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: White space runs that differ from one plain space.
 _ODD_SPACE = r"[\x09-\x0D][\x20\x09-\x0D]*|\x20[\x20\x09-\x0D]+"
 
+#: Characters whose composed form, lower case and class are the same in every version of Unicode: printable ASCII and the plain white
+#: space, composed Latin and Cyrillic letters (none of which joins with its neighbours), dashes and quotes.
+SAFE = r"\x20-\x7e\t\n\r\xc0-\xd6\xd8-\xf6\xf8-\u012f\u0131-\u017f\u0400-\u045f\u2010-\u2027"
+unsafe = re.compile(f"[^{SAFE}]").search
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketloom.llm import language_id, quality
+from marketloom.llm import language_id, quality, vector_codes
 from marketloom.llm.common import held_out, table
 from marketloom.llm.decontaminate import contamination
 from marketloom.llm.exact_dedup import exact_duplicates
@@ -14,6 +14,8 @@ from marketloom.llm.preferences import format_pairs, mismatched
 from marketloom.llm.sharding import documents_by_text, shard_documents
 from marketloom.llm.simhash import near_duplicates
 from marketloom.llm.substring_dedup import passages
+from marketloom.llm.token_alignment import aligned
+from marketloom.llm.token_counts import token_counts
 from marketloom.llm.warc import archived
 
 
@@ -82,6 +84,28 @@ def op10_content_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_duplicates(table(spark, sf_dir, "documents"))
 
 
+def vocabulary(name: str) -> str:
+    """Where a public tokenizer's file lies."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op11_pair_merging(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = token_counts(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
+    return found.withColumnRenamed("id", "doc_id")
+
+
+def op12_gnat_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.vector_codes(table(spark, sf_dir, "embeddings")).withColumnRenamed("id", "vec_id")
+
+
+def op13_galloping_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = aligned(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"), vocabulary("piece_bpe_32k.model"))
+    columns = ["n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"]
+    return found.select(F.col("id").alias("doc_id"), *columns)
+
+
 ORACLE_10 = r"""
 WITH t AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS norm FROM documents),
 g AS (SELECT norm, min(doc_id) AS keep_id, count(*) AS group_size FROM t GROUP BY norm)
@@ -111,9 +135,13 @@ QUERIES = {
     "op8_nearest_centroid": op8_nearest_centroid,
     "op9_simhash_pigeonhole": op9_simhash_pigeonhole,
     "op10_content_sort": op10_content_sort,
+    "op11_pair_merging": op11_pair_merging,
+    "op12_gnat_codes": op12_gnat_codes,
+    "op13_galloping_alignment": op13_galloping_alignment,
 }
 
 ORACLES = {
     "op2_content_addressed": ORACLE_2,
     "op10_content_sort": ORACLE_10,
+    "op12_gnat_codes": vector_codes.oracle(),
 }
