@@ -34,9 +34,11 @@ def edges():
     return edge_rows() + [(100 + i, t) for i, t in enumerate([*ODD, *ODD])]
 
 
-def library_count(text, _made={}):
-    made = _made.setdefault("t", Tokenizer.from_file(WORDS))
-    return len(made.encode(text or "", add_special_tokens=False).ids)
+LIBRARY = Tokenizer.from_file(WORDS)
+
+
+def library_count(text):
+    return len(LIBRARY.encode(text or "", add_special_tokens=False).ids)
 
 
 def test_counts_of_the_whole_table(spark):
