@@ -20,7 +20,6 @@ from __future__ import annotations
 
 import hashlib
 import json
-from bisect import bisect_left
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -28,6 +27,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from marketloom.llm.common import unsafe
 from marketloom.session import durable
@@ -37,36 +37,40 @@ FREQUENT = 1 << 19
 TOKENS = 1 << 19
 _B_BITS = 24
 _NONE = np.empty(0, np.int64)
+#: Numbers of the shorter list that go into the longer one together.
+BLOCK = 256
 #: Fixed value: the pattern by which byte-level files cut words.
 WORDS = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
 
-def common_ends(a: list[int], b: list[int]) -> tuple[list[int], list[int]]:
-    """Places of the numbers that two increasing lists share, in the first list and in the second."""
+def common_ends(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places of the numbers that two increasing lists share, in the first list and in the second.
+
+    The shorter list goes into the longer one in blocks: the block's last number gallops on from where the block before ended, by
+    steps that double and a binary search between the last two, and the block's numbers are then searched in what it passed.
+    """
     if len(a) > len(b):
         places = common_ends(b, a)
         return places[1], places[0]
-    here, there = [], []
+    here, there = [_NONE], [_NONE]
     at, n = 0, len(b)
-    for i, end in enumerate(a):
-        if at == n:
-            break
-        found = b[at]
-        if found < end:
-            # Doubling steps pass over what is smaller; the search is between the last two.
-            step = 1
-            while at + step < n and b[at + step] < end:
-                at += step
-                step += step
-            at = bisect_left(b, end, at + 1, min(at + step, n))
-            if at == n:
-                break
-            found = b[at]
-        if found == end:
-            here.append(i)
-            there.append(at)
-            at += 1
-    return here, there
+    for start in range(0, len(a), BLOCK):
+        block = a[start : start + BLOCK]
+        last, low, step = block[-1], at, BLOCK
+        while low + step < n and b[low + step] < last:
+            low += step
+            step += step
+        end = min(low + step + 1, n)
+        end = low + int(b[low:end].searchsorted(last, "right"))
+        passed = b[at:end]
+        if len(passed):
+            place = passed.searchsorted(block)
+            place[place == len(passed)] = 0
+            same = np.flatnonzero(passed[place] == block)
+            here.append(same + start)
+            there.append(place[same] + at)
+        at = end
+    return np.concatenate(here), np.concatenate(there)
 
 
 class Aligner:
@@ -140,8 +144,7 @@ class Aligner:
         if not self.spells(a, raw) or b"".join(map(self.b_bytes.__getitem__, pieces)) != raw:
             return (_NONE,) * 4
         b = np.array(pieces, np.int64)
-        here, there = common_ends(self.a_sizes[a].cumsum().tolist(), self.b_sizes[b].cumsum().tolist())
-        return a, b, np.array(here), np.array(there)
+        return a, b, *common_ends(self.a_sizes[a].cumsum(), self.b_sizes[b].cumsum())
 
     def written(self, a: np.ndarray, b: np.ndarray, here: np.ndarray, there: np.ndarray) -> str:
         """The groups as text: identifiers of A, a bar, identifiers of B, groups parted by semicolons."""
@@ -162,57 +165,74 @@ def _aligner(spec: str, model: bytes) -> Aligner:
     return Aligner(spec, model)
 
 
-def _encoder(shared):
+def _encoder(shared, width: str):
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         aligner = _aligner(*shared.value)
-        names = ["row", "id", "n_a", "n_b", "n_groups", "groups_sha256", "a", "b"]
+        names = ["row", "id", "n_a", "n_b", "n_groups", "groups_sha256", "links"]
         for batch in batches:
             first, held = 0, 0
             rows: list[tuple] = []
             for k, value in enumerate(batch.column("text")):
                 a, b, here, there = aligner.align(value.as_py())
-                if not len(here):
-                    rows.append((0, 0, 0, "", [], []))
-                else:
-                    digest = hashlib.sha256(aligner.written(a, b, here, there).encode()).hexdigest()
-                    rows.append((len(a), len(b), len(here), digest, a[here], b[there]))
-                    held += len(a) + len(b)
+                digest = hashlib.sha256(aligner.written(a, b, here, there).encode()).hexdigest() if len(here) else ""
+                links = np.concatenate([a[here], b[there]]).astype(width).tobytes()
+                rows.append((len(a), len(b), len(here), digest, links))
+                held += len(a) + len(b)
                 if held >= TOKENS or k + 1 == batch.num_rows:
-                    columns = list(zip(*rows))
+                    n_a, n_b, n_groups, digests, packed = zip(*rows)
                     own = [batch.column(c).slice(first, len(rows)) for c in ("row", "id")]
-                    counts = [pa.array(c, pa.int64()) for c in columns[:3]]
-                    lists = [pa.array(c, pa.list_(pa.int32())) for c in columns[4:]]
-                    yield pa.RecordBatch.from_arrays([*own, *counts, pa.array(columns[3], pa.string()), *lists], names)
+                    counts = [pa.array(c, pa.int64()) for c in (n_a, n_b, n_groups)]
+                    strings = [pa.array(digests, pa.string()), pa.array(packed, pa.binary())]
+                    yield pa.RecordBatch.from_arrays([*own, *counts, *strings], names)
                     first, held, rows = k + 1, 0, []
 
     return of
 
 
-def _pairs(batch: pa.RecordBatch) -> np.ndarray:
-    a = batch.column("a").flatten().to_numpy(zero_copy_only=False).astype(np.int64)
-    return a << _B_BITS | batch.column("b").flatten().to_numpy(zero_copy_only=False).astype(np.int64)
+def _pair(links: pa.Scalar, width: str) -> np.ndarray:
+    """One number for each link of a row: A's identifier, then B's in the low bits."""
+    both = np.frombuffer(links.as_buffer(), width).astype(np.int64)
+    n = len(both) // 2
+    return both[:n] << _B_BITS | both[n:]
+
+
+def _parts(batch: pa.RecordBatch, width: str) -> Iterator[tuple[int, list[np.ndarray]]]:
+    """Rows of a batch a few at a time, of about ``TOKENS`` links together: (first row, pairs of each)."""
+    first, held, rows = 0, 0, []
+    for k, links in enumerate(batch.column("links")):
+        rows.append(_pair(links, width))
+        held += len(rows[-1])
+        if held >= TOKENS or k + 1 == batch.num_rows:
+            yield first, rows
+            first, held, rows = k + 1, 0, []
 
 
-def _count_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(pair, n): links of one task, added up over about ``8 * TOKENS`` links at a time."""
+def _count_pairs(width: str):
+    """(pair, n): links of one task, added up over about ``4 * TOKENS`` links at a time."""
 
     def rows(parts: list[np.ndarray]) -> pa.RecordBatch:
         pair, n = np.unique(np.concatenate(parts), return_counts=True)
         return pa.RecordBatch.from_arrays([pa.array(pair), pa.array(n.astype(np.int64))], ["pair", "n"])
 
-    held: list[np.ndarray] = []
-    for batch in batches:
-        held.append(_pairs(batch))
-        if sum(map(len, held)) >= 8 * TOKENS:
+    def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[np.ndarray] = []
+        size = 0
+        for batch in batches:
+            for _, part in _parts(batch, width):
+                held += part
+                size += sum(map(len, part))
+                if size >= 4 * TOKENS:
+                    yield rows(held)
+                    held, size = [], 0
+        if held:
             yield rows(held)
-            held = []
-    if held:
-        yield rows(held)
+
+    return of
 
 
-def pair_counts(encoded: DataFrame) -> DataFrame:
+def pair_counts(encoded: DataFrame, width: str) -> DataFrame:
     """(pair, n, best): how many links hold each pair, and whether no other pair of the same B token is held more often."""
-    found = encoded.select("a", "b").mapInArrow(_count_pairs, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n"))
+    found = encoded.select("links").mapInArrow(_count_pairs(width), "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n"))
     found = durable(found, "pairs")
     b = F.col("pair").bitwiseAND((1 << _B_BITS) - 1)
     # One row for each B token of the vocabulary.
@@ -232,33 +252,31 @@ def _frequent(counts: DataFrame, most: int) -> int:
     return 1 << min(least, 62)
 
 
-def _look_up(shared):
+def _look_up(shared, width: str):
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pairs, counts, best = shared.value
         for batch in batches:
-            links = _pairs(batch)
-            ends = np.cumsum(batch.column("n_groups").to_numpy(zero_copy_only=False))
-            row = np.searchsorted(ends, np.arange(len(links)), side="right")
-            place = np.searchsorted(pairs, links)
-            place[place == len(pairs)] = 0
-            known = pairs[place] == links if len(pairs) else np.zeros(len(links), bool)
-            place = place[known]
-            total, firm = np.zeros(batch.num_rows, np.int64), np.zeros(batch.num_rows, np.int64)
-            np.add.at(total, row[known], counts[place])
-            np.add.at(firm, row[known], best[place].astype(np.int64))
-            # A text's other pairs, each with its number of links.
-            other = np.unique(np.stack([row[~known], links[~known]]), axis=1, return_counts=True)
-            starts = np.searchsorted(other[0][0], np.arange(batch.num_rows + 1)).astype(np.int32)
-            value = pa.StructArray.from_arrays([pa.array(other[0][1]), pa.array(other[1].astype(np.int64))], ["pair", "links"])
-            rest = pa.ListArray.from_arrays(pa.array(starts), value)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("row"), pa.array(firm), pa.array(total), rest], ["row", "n_best", "count_sum", "rest"]
-            )
+            for first, rows in _parts(batch, width):
+                links = np.concatenate(rows)
+                row = np.repeat(np.arange(len(rows)), [len(r) for r in rows])
+                place = np.searchsorted(pairs, links)
+                place[place == len(pairs)] = 0
+                known = pairs[place] == links if len(pairs) else np.zeros(len(links), bool)
+                total, firm = np.zeros(len(rows), np.int64), np.zeros(len(rows), np.int64)
+                np.add.at(total, row[known], counts[place[known]])
+                np.add.at(firm, row[known], best[place[known]].astype(np.int64))
+                # A text's other pairs, each with its number of links.
+                other, n = np.unique(np.stack([row[~known], links[~known]]), axis=1, return_counts=True)
+                starts = np.searchsorted(other[0], np.arange(len(rows) + 1)).astype(np.int32)
+                value = pa.StructArray.from_arrays([pa.array(other[1]), pa.array(n.astype(np.int64))], ["pair", "links"])
+                rest = pa.ListArray.from_arrays(pa.array(starts), value)
+                own = batch.column("row").slice(first, len(rows))
+                yield pa.RecordBatch.from_arrays([own, pa.array(firm), pa.array(total), rest], ["row", "n_best", "count_sum", "rest"])
 
     return of
 
 
-def link_counts(encoded: DataFrame, counts: DataFrame, frequent: int = FREQUENT) -> DataFrame:
+def link_counts(encoded: DataFrame, counts: DataFrame, width: str, frequent: int = FREQUENT) -> DataFrame:
     """(row, n_best, count_sum) for every row of ``encoded``."""
     least = _frequent(counts, frequent)
     # At most ``frequent`` rows.
@@ -266,7 +284,7 @@ def link_counts(encoded: DataFrame, counts: DataFrame, frequent: int = FREQUENT)
     held = tuple(top.column(c).to_numpy() for c in ("pair", "n", "best"))
     shared = encoded.sparkSession.sparkContext.broadcast(held)
     schema = "row long, n_best long, count_sum long, rest array<struct<pair: long, links: long>>"
-    found = durable(encoded.select("row", "n_groups", "a", "b").mapInArrow(_look_up(shared), schema), "links")
+    found = durable(encoded.select("row", "links").mapInArrow(_look_up(shared, width), schema), "links")
     rest = found.select("row", F.inline("rest")).join(counts.where(F.col("n") < least), "pair")
     rest = rest.groupBy(F.col("row").alias("__row")).agg(
         F.sum(F.when(F.col("best"), F.col("links")).otherwise(0)).alias("__best"), F.sum(F.col("links") * F.col("n")).alias("__sum")
@@ -279,21 +297,26 @@ def link_counts(encoded: DataFrame, counts: DataFrame, frequent: int = FREQUENT)
 def aligned(
     docs: DataFrame, path_a: str, path_b: str, frequent: int = FREQUENT, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
-    """(id, n_a, n_b, n_groups, n_links, n_best, count_sum, groups_sha256, a, b): ``a`` and ``b`` are the linked tokens, link by link.
+    """(id, n_a, n_b, n_groups, n_links, n_best, count_sum, groups_sha256, links) for every row of ``docs``.
 
-    The files are read by the driver and sent to the tasks.
+    ``links`` holds the identifiers of the linked A tokens and then those of the B tokens, in little-endian numbers of 2 bytes each
+    (4, if a vocabulary needs more). The files are read by the driver and sent to the tasks.
     """
     spark = docs.sparkSession
     with open(path_a, encoding="utf-8") as f, open(path_b, "rb") as g:
-        shared = spark.sparkContext.broadcast((f.read(), g.read()))  # vocabularies: their size does not depend on the table
+        spec, model = f.read(), g.read()
+    aligner = _aligner(spec, model)
+    width = "<u2" if max(len(aligner.a_bytes), len(aligner.b_bytes)) <= 1 << 16 else "<u4"
+    shared = spark.sparkContext.broadcast((spec, model))  # vocabularies: their size does not depend on the table
     rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    schema = f"row long, id {rows.schema['id'].dataType.simpleString()}, n_a long, n_b long, n_groups long, "
-    schema += "groups_sha256 string, a array<int>, b array<int>"
-    encoded = durable(rows.mapInArrow(_encoder(shared), schema), "aligned")
-    counts = durable(pair_counts(encoded), "pair-counts")
-    links = link_counts(encoded, counts, frequent).withColumnRenamed("row", "__row")
+    schema = T.StructType([rows.schema["row"], rows.schema["id"]])
+    for name, kind in (("n_a", "long"), ("n_b", "long"), ("n_groups", "long"), ("groups_sha256", "string"), ("links", "binary")):
+        schema = schema.add(name, kind)
+    encoded = durable(rows.mapInArrow(_encoder(shared, width), schema), "aligned")
+    counts = durable(pair_counts(encoded, width), "pair-counts")
+    links = link_counts(encoded, counts, width, frequent).withColumnRenamed("row", "__row")
     found = encoded.join(links, F.col("row") == F.col("__row"))
     # Tokens are never empty, so one token of either side ends at each common offset: a group has one link.
     return found.select(
-        "id", "n_a", "n_b", "n_groups", F.col("n_groups").alias("n_links"), "n_best", "count_sum", "groups_sha256", "a", "b"
+        "id", "n_a", "n_b", "n_groups", F.col("n_groups").alias("n_links"), "n_best", "count_sum", "groups_sha256", "links"
     )

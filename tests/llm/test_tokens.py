@@ -5,6 +5,7 @@ import json
 import random
 from collections import Counter, defaultdict
 
+import numpy as np
 import public_tokenizers
 import pytest
 import sentencepiece
@@ -85,8 +86,11 @@ def test_common_ends():
         for share in (0.02, 0.3, 0.95):
             a = sorted(rng.sample(range(1000), size))
             b = [x for x in range(1000) if rng.random() < share]
-            here, there = common_ends(a, b)
+            here, there = common_ends(np.array(a, int), np.array(b, int))
             assert [a[i] for i in here] == [b[j] for j in there] == sorted(set(a) & set(b))
+    a, b = np.arange(0, 100_000, 97), np.arange(0, 100_000)
+    here, there = common_ends(a, b)
+    assert (here == np.arange(len(a))).all() and (there == a).all()
 
 
 class Plain:
