@@ -10,7 +10,7 @@ from marketloom.functions import amounts
 from marketloom.queries.fixtures import KEYS, money, on_raw, on_sales, raw_sales, sales, table
 from marketloom.schema import RAW_SALES
 from marketloom.session import scratch_path
-from marketloom.sources import excel, files, tables
+from marketloom.sources import excel, files, snapshots, tables
 
 RAW = RAW_SALES.names
 _RAW = ", ".join(RAW)
@@ -174,7 +174,36 @@ def _bucketed(s, d):
     return s.table(name).groupBy("customer_id").agg(amounts.total("total_amount").alias("total_sales"))
 
 
+def _changed_table(s, d):
+    """Four versions of a stored table, and a frame over the first that was opened before the others were made."""
+    path = scratch_path(s, "versions")
+    df = sales(s, d).select(*KEYS, "category", "payment_method", "quantity", "price")
+    snapshots.create_snapshot(df.repartitionByRange(8, "l_orderkey"), path)
+    first = snapshots.read_snapshot(s, path)
+    snapshots.update_snapshot(s, path, F.col("l_orderkey") % 1000 == 7, {"quantity": 9, "price": F.col("price") * 2})
+    changes = df.where("l_orderkey < 200").select(*KEYS, (F.col("quantity") + F.col("l_linenumber") % 2).alias("quantity"))
+    added = df.where("l_orderkey < 20").select((F.col("l_orderkey") + 100_000_000).alias("l_orderkey"), *KEYS[1:], "quantity")
+    snapshots.upsert_snapshot(changes.unionByName(added), path, KEYS)
+    snapshots.delete_snapshot(s, path, {"payment_method": "5-LOW"})
+    return path, first
+
+
+def _snapshot_versions(s, d):
+    path, first = _changed_table(s, d)
+    rows = first.withColumn("version", F.lit(1))
+    for number in (2, 3, 4):
+        rows = rows.unionByName(snapshots.read_snapshot(s, path, number).withColumn("version", F.lit(number)))
+    return rows.groupBy("version", "category").agg(
+        amounts.row_count().alias("rows"),
+        F.sum("quantity").alias("quantity"),
+        F.sum("l_orderkey").alias("key_sum"),
+        amounts.total("price").alias("price_sum"),
+    )
+
+
 QUERIES = {
+    "snapshot_versions": _snapshot_versions,
+    "snapshot_history": lambda s, d: snapshots.history(s, _changed_table(s, d)[0]),
     "scan_csv": _scan_csv,
     "scan_parquet": _scan_parquet,
     "scan_excel_folder": _scan_excel,
@@ -195,7 +224,29 @@ QUERIES = {
     "retention_prune": _retention,
 }
 
+_VERSIONS = """, v1 AS (SELECT l_orderkey, l_linenumber, category, payment_method, quantity, price, quantity AS q FROM sales),
+    v2 AS (SELECT * REPLACE (CASE WHEN l_orderkey % 1000 = 7 THEN 9 ELSE quantity END AS quantity,
+      CASE WHEN l_orderkey % 1000 = 7 THEN price * 2 ELSE price END AS price) FROM v1),
+    v3 AS (SELECT * REPLACE (CASE WHEN l_orderkey < 200 THEN q + l_linenumber % 2 ELSE quantity END AS quantity) FROM v2
+      UNION ALL SELECT l_orderkey + 100000000, l_linenumber, NULL, NULL, quantity, NULL, NULL FROM sales WHERE l_orderkey < 20),
+    v4 AS (SELECT * FROM v3 WHERE payment_method IS DISTINCT FROM '5-LOW')"""
+
 ORACLES = {
+    "snapshot_versions": on_sales("").rstrip()
+    + _VERSIONS
+    + " UNION ALL ".join(
+        f"""SELECT {n} AS version, category, count(*) AS rows, CAST(sum(quantity) AS BIGINT) AS quantity,
+        CAST(sum(l_orderkey) AS BIGINT) AS key_sum, {money('price')} AS price_sum FROM v{n} GROUP BY category"""
+        for n in (1, 2, 3, 4)
+    ),
+    "snapshot_history": on_sales("").rstrip()
+    + _VERSIONS
+    + """ SELECT CAST(1 AS BIGINT) AS version, 'create' AS operation, CAST(0 AS BIGINT) AS matched, CAST(0 AS BIGINT) AS changed,
+        count(*) AS added, CAST(0 AS BIGINT) AS deleted FROM v1
+    UNION ALL SELECT 2, 'update', count(*), count(*), 0, 0 FROM v1 WHERE l_orderkey % 1000 = 7
+    UNION ALL SELECT 3, 'upsert', count(*), count(CASE WHEN quantity <> q + l_linenumber % 2 THEN 1 END),
+        (SELECT count(*) FROM v1 WHERE l_orderkey < 20), 0 FROM v2 WHERE l_orderkey < 200
+    UNION ALL SELECT 4, 'delete', count(*), 0, 0, count(*) FROM v3 WHERE payment_method = '5-LOW'""",
     "scan_csv": on_raw(f"SELECT {_RAW} FROM raw"),
     "scan_parquet": "SELECT * FROM lineitem",
     "scan_excel_folder": on_sales(f"""SELECT shopping_mall, category, {money('total_amount')} AS total_sales, count(*) AS transactions,
