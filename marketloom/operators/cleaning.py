@@ -260,9 +260,13 @@ def handle_missing(
     groups: Sequence[str] = (),
     exact: bool = True,
     hot_rows: int = HOT_ROWS,
+    shares: dict[str, float] | None = None,
 ) -> DataFrame:
-    """Drop sparse columns, then ``drop`` rows, fill (``auto``, ``median``, ``mean``, ``mode``) or ``forward_fill``."""
-    shares = missing_shares(df)
+    """Drop sparse columns, then ``drop`` rows, fill (``auto``, ``median``, ``mean``, ``mode``) or ``forward_fill``.
+
+    ``shares`` is the share of missing values per column, if known.
+    """
+    shares = missing_shares(df) if shares is None else shares
     df = df.drop(*[c for c, share in shares.items() if share > threshold])
     if strategy == "drop":
         return drop_null_rows(df)

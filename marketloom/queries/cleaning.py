@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from marketloom.operators import cleaning as c
+from marketloom.operators.cleaning_log import CleaningLog
 from marketloom.operators.ordering import forward_fill
 from marketloom.plans.cleaning import clean_sales, clean_table
 from marketloom.queries.fixtures import KEYS, ORDER, RAW_SQL, on_raw, on_sales, raw_sales, sales, significant, significant_sql
@@ -76,7 +77,14 @@ def _impute_mode(s, d):
     return c.fill_text(raw, c.most_frequent(raw, ["category", "loyalty_tier"]))
 
 
+def _log(s, d):
+    log = CleaningLog()
+    durable(clean_sales(raw_sales(s, d), keys=KEYS, log=log), "cleaned")
+    return log.frame(s).drop("position").withColumn("value", F.round("value", 9))
+
+
 QUERIES = {
+    "cleaning_log": _log,
     "dedup_all": lambda s, d: c.remove_duplicates(raw_sales(s, d)),
     "dedup_first": lambda s, d: c.remove_duplicates(sales(s, d), SUBSET, "first", ORDER),
     "dedup_last": lambda s, d: c.remove_duplicates(sales(s, d), SUBSET, "last", ORDER),
@@ -149,9 +157,14 @@ def _median(column: str, source: str) -> str:
 def _imputed(statistic: str) -> str:
     """Gaps filled with a statistic of the column, for the amounts and their scaled versions."""
     filled = ", ".join(
-        f"{significant_sql(f'coalesce({x}, (SELECT {statistic.format(x)} FROM t))')} AS {x}" for x in [*GAPS, *SCALED]
+        f"{significant_sql(f'coalesce({x}, fill_{x})')} AS {x}" for x in [*GAPS, *SCALED]
+    )
+    found = ", ".join(f"{statistic.format(x)} AS fill_{x}" for x in [*GAPS, *SCALED])
+    return (
+        on_raw("").rstrip()
+        + f""", t AS MATERIALIZED (SELECT {_K}, age, price, {SCALED_SQL} FROM raw), fills AS MATERIALIZED (SELECT {found} FROM t)
+      SELECT {_K}, {filled} FROM t CROSS JOIN fills"""
     )
-    return on_raw("").rstrip() + f", t AS (SELECT {_K}, age, price, {SCALED_SQL} FROM raw) SELECT {_K}, {filled} FROM t"
 
 
 def _mode(column: str, source: str) -> str:
@@ -190,7 +203,46 @@ _GENERIC = (
   SELECT f.* REPLACE ({_capped('price')} AS price, {_capped('age')} AS age, {', '.join(f'CAST({k} AS DOUBLE) AS {k}' for k in KEYS)}) FROM f, q"""
 )
 
+def _logged(step: str, column: str | None, metric: str, value: str, detail: str = "CAST(NULL AS VARCHAR)") -> str:
+    name = f"'{column}'" if column else "CAST(NULL AS VARCHAR)"
+    return f"""SELECT '{step}' AS step, {name} AS "column", '{metric}' AS metric, CAST({value} AS DOUBLE) AS value, {detail} AS detail"""
+
+
+_CHANGED = ["gender", "category", "payment_method", "shopping_mall"]
+_TYPED = ["invoice_no", "customer_id", "gender", "age", "category", "quantity", "price", "payment_method", "invoice_date", "shopping_mall"]
+_LOG = (
+    _DEDUP.replace("PAYMENT", _clean_text("payment_method")).replace("MALL", _clean_text("shopping_mall"))
+    + f",\n  q AS ({_quartiles(CAPPED, 'f')})\n"
+    + "\nUNION ALL ".join(
+        [
+            _logged("duplicates", None, "rows_before", "(SELECT count(*) FROM raw)"),
+            _logged("duplicates", None, "rows_after", "(SELECT count(*) FROM t)"),
+            _logged("duplicates", None, "rows_removed", "(SELECT count(*) FROM raw) - (SELECT count(*) FROM t)"),
+            _logged("dates", "invoice_date", "format", "NULL", "'d/M/yyyy'"),
+            _logged(
+                "dates",
+                "invoice_date",
+                "lost",
+                "(SELECT count(*) FROM t WHERE invoice_date IS NOT NULL AND try_strptime(invoice_date, '%d/%m/%Y') IS NULL)",
+            ),
+            *[_logged("text", x, "changed", f"(SELECT count(*) FROM t WHERE {x} IS DISTINCT FROM {_clean_text(x)})") for x in _CHANGED],
+            *[_logged("types", x, "lost", "0") for x in _TYPED],
+            _logged(
+                "columns",
+                "loyalty_tier",
+                "dropped",
+                "round((SELECT 1 - count(loyalty_tier) / count(*) FROM t), 9)",
+                "'missing share above 0.3'",
+            ),
+            *[_logged("missing", x, "filled", f"(SELECT count(*) - count({x}) FROM u)") for x in ("age", "price", "invoice_date")],
+            *[_logged("outliers", x, "capped", f"(SELECT count(*) FROM f, q WHERE {x} < {x}_q1 - 3 * ({x}_q3 - {x}_q1) "
+              f"OR {x} > {x}_q3 + 3 * ({x}_q3 - {x}_q1))") for x in CAPPED],
+        ]
+    )
+)
+
 ORACLES = {
+    "cleaning_log": _LOG,
     "dedup_all": on_raw("SELECT DISTINCT * FROM raw"),
     "dedup_first": _pick("ASC"),
     "dedup_last": _pick("DESC"),

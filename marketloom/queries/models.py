@@ -9,7 +9,7 @@ from marketloom.operators import forecasting as t
 from marketloom.operators import modelling as m
 from marketloom.plans import models
 from marketloom.plans.transform import transform_sales
-from marketloom.queries.fixtures import KEYS, ORDER, mean, money, on_sales, sales
+from marketloom.queries.fixtures import KEYS, ORDER, mean, money, on_sales, sales, significant, significant_sql
 from marketloom.schema import TARGET
 from marketloom.session import durable, scratch_path
 
@@ -161,6 +161,8 @@ def _one_feature(s, d):
     )
 
 
+CHECKED = ["label_min", "label_max", "prediction_min", "prediction_max"]
+
 QUERIES = {
     "ml_feature_list": lambda s, d: m.feature_list(_transformed(s, d), exclude=[*m.ID_COLUMNS, *KEYS]),
     "ml_fill": lambda s, d: m.fill_features(_gaps(s, d), FILLED),
@@ -181,7 +183,7 @@ QUERIES = {
     "target_identity": lambda s, d: _rounded(m.target_identity(_numbers(s, d), NUMBERS), "correlation"),
     "leakage_columns": lambda s, d: _rounded(m.leakage_columns(_numbers(s, d), NUMBERS), "correlation"),
     "model_comparison": _comparison,
-    "prediction_check": lambda s, d: m.prediction_check(_baseline(s, d)),
+    "prediction_check": lambda s, d: significant(m.prediction_check(_baseline(s, d)), CHECKED),
     "range_check": _ranges,
     "daily_series": lambda s, d: _series(s, d, ["category"]),
     "daily_series_stats": _series_stats,
@@ -223,6 +225,7 @@ def _on_series(select: str) -> str:
     return on_sales("").rstrip() + f", {_SERIES}\n{select}"
 
 
+_OF = {k: "total_amount" if k.startswith("label") else "prediction" for k in CHECKED}
 _PREDICTED = f"""p AS (SELECT *, quantity * {mean('price', ' OVER (PARTITION BY category)')} AS prediction FROM sales)"""
 
 # The split in SQL: the same hash of the key.
@@ -279,8 +282,7 @@ ORACLES = {
         FROM ({_CORR}) WHERE abs(r) > 0.95 OR contains("column", 'total_amount')"""
     ),
     "prediction_check": on_sales("").rstrip()
-    + f""", {_PREDICTED} SELECT min(total_amount) AS label_min, max(total_amount) AS label_max, min(prediction) AS prediction_min,
-      max(prediction) AS prediction_max,
+    + f""", {_PREDICTED} SELECT {', '.join(f"{significant_sql(f'{k.split(chr(95))[1]}({_OF[k]})')} AS {k}" for k in CHECKED)},
       CAST(bool_and(abs(prediction - total_amount) <= 1e-8 + 1e-5 * abs(total_amount)) AS INTEGER) AS all_close FROM p""",
     "daily_series": on_sales(
         f"SELECT category, invoice_date::DATE AS date, {money('total_amount')} AS sales FROM sales GROUP BY 1, 2"

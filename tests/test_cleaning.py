@@ -6,8 +6,11 @@ from pyspark.sql import functions as F
 from marketloom.functions import text
 from marketloom.operators import cleaning as c
 from marketloom.operators import profiling
+from marketloom.operators.cleaning_log import CleaningLog
 from marketloom.plans.cleaning import clean_sales, clean_table
+from marketloom.queries.fixtures import raw_sales
 from marketloom.schema import RAW_SALES
+from marketloom.session import durable
 
 
 def rows(df):
@@ -165,3 +168,35 @@ def test_all_numeric_columns_are_imputed_but_keys(spark):
     out = clean_sales(more, keys=["line"])
     assert out.where("discount is null").count() == 0
     assert out.schema["line"].dataType.typeName() == "long"
+
+
+def test_log_counts_inside_the_cleaning_jobs(spark):
+    """The log needs no job, and so no scan, beyond those of the cleaning itself."""
+    raw = raw_sales(spark, "/root/testdata/sf0.001")
+    jobs = []
+    for label, log in (("plain", None), ("logged", CleaningLog())):
+        spark.sparkContext.setJobGroup(f"cleaning-{label}", label)
+        durable(clean_sales(raw, log=log), "cleaned")
+        jobs.append(len(spark.sparkContext.statusTracker().getJobIdsForGroup(f"cleaning-{label}")))
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert jobs[0] == jobs[1]
+    rows = {(r.step, r.column, r.metric): r.value for r in log.frame(spark).collect()}
+    assert rows["duplicates", None, "rows_removed"] == raw.count() - raw.distinct().count()
+    assert rows["missing", "price", "filled"] > 0 and rows["outliers", "price", "capped"] > 0
+    assert [r.position for r in log.frame(spark).orderBy("position").collect()] == list(range(len(rows)))
+
+
+def test_log_of_values_that_are_lost(spark):
+    rows = [("1", "c", " F ", "x", "A", "2", 1.0, "card", "2022-01-02", "m"), ("2", "c", "f", "30", "a", "3.5", None, "card", "never", "m")]
+    raw = spark.createDataFrame(
+        rows,
+        "invoice_no string, customer_id string, gender string, age string, category string, quantity string, price double, "
+        "payment_method string, invoice_date string, shopping_mall string",
+    )
+    log = CleaningLog()
+    durable(clean_sales(raw, log=log), "cleaned")
+    got = {(r.step, r.column, r.metric): (r.value, r.detail) for r in log.frame(spark).collect()}
+    assert got["dates", "invoice_date", "lost"] == (1.0, None) and got["dates", "invoice_date", "format"][1] == "yyyy-M-d"
+    assert got["types", "age", "lost"][0] == 1 and got["types", "quantity", "lost"][0] == 0
+    assert got["text", "gender", "changed"][0] == 1 and got["text", "category", "changed"][0] == 1
+    assert got["columns", "price", "dropped"][0] == 0.5
