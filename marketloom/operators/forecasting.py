@@ -101,12 +101,18 @@ def _ridge(x: np.ndarray, y: np.ndarray, penalty: np.ndarray) -> np.ndarray:
     return np.linalg.solve(x.T @ x + np.diag(penalty), x.T @ y)
 
 
+def _penalties(terms: int, reg: float) -> np.ndarray:
+    """None on level and slope, little on the seasons, more on each change of the slope."""
+    return np.array([1e-9, 1e-9] + [0.01 * reg] * (terms - 1) + [reg] * CHANGEPOINTS)
+
+
 def seasonal_forecast(
     series: DataFrame, groups: Sequence[str] = (), share: float = TRAIN_SHARE, multiplicative: bool = False, reg: float = 1.0
 ) -> DataFrame:
     """Trend with changepoints plus yearly and weekly seasons, fitted on the first days and predicted for all.
 
-    One fit per group, in parallel; a group is one daily series. ``multiplicative`` fits the logarithm of the sales.
+    With groups one fit per group, in parallel; a group is one daily series. A single series is fitted on Spark: its normal
+    equations are added up in the tasks. ``multiplicative`` fits the logarithm of the sales.
     """
     groups = list(groups)
     along = Window.partitionBy(*groups)
@@ -114,11 +120,9 @@ def seasonal_forecast(
     rows = chrono_split(series, share, groups)
     rows = rows.withColumn("position", F.datediff("date", first) / F.greatest(F.datediff(last, first), F.lit(1)))
     rows = rows.withColumn("terms", F.array(*_seasonal_terms("position")))
-    single = "__all"
-    if not groups:
-        rows = rows.withColumn(single, F.lit(0))
-    keys = groups or [single]
     knots = np.linspace(0, 0.8, CHANGEPOINTS + 2)[1:-1]
+    if not groups:
+        return _seasonal_single(rows, knots, multiplicative, reg)
 
     def fit(pdf: pd.DataFrame) -> pd.DataFrame:
         terms = np.stack(pdf["terms"].to_numpy())
@@ -128,8 +132,7 @@ def seasonal_forecast(
         y = np.log1p(np.maximum(y, 0.0)) if multiplicative else y
         train = pdf["is_train"].to_numpy() == 1
         scale = max(np.abs(y[train]).max(initial=0.0), 1e-12)
-        # No penalty on level and slope, little on the seasons, more on each change of the slope.
-        penalty = np.array([1e-9, 1e-9] + [0.01 * reg] * (terms.shape[1] - 1) + [reg] * len(knots))
+        penalty = _penalties(terms.shape[1], reg)
         guess = x @ _ridge(x[train], y[train] / scale, penalty) * scale if train.any() else np.full(len(pdf), np.nan)
         out = pdf[[*groups, "date", "sales", "is_train"]].copy()
         out[PREDICTION] = np.expm1(guess) if multiplicative else guess
@@ -145,7 +148,49 @@ def seasonal_forecast(
             T.StructField(PREDICTION, T.DoubleType()),
         ]
     )
-    return rows.select(*keys, "date", "sales", "is_train", "terms").groupBy(*keys).applyInPandas(fit, schema)
+    return rows.select(*groups, "date", "sales", "is_train", "terms").groupBy(*groups).applyInPandas(fit, schema)
+
+
+def normal_equations(rows: DataFrame, x: str, y: str, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """(X'X, X'y) over the rows of an array column ``x`` of ``size`` numbers and a column ``y``.
+
+    Each row gives the products of its numbers with those from their own place on, and with y; the products of a place are added
+    up in the tasks before the shuffle. The driver gets one number for each place of the matrix, whatever the number of rows.
+    """
+    each = rows.select(F.posexplode(x).alias("i", "a"), x, F.col(y).alias("__y"))
+    tail = F.concat(F.slice(x, F.col("i") + 1, F.lit(size)), F.array("__y"))
+    products = each.select("i", F.posexplode(F.transform(tail, lambda b: b * F.col("a"))).alias("k", "v"))
+    found = products.groupBy("i", "k").agg(F.sum("v").alias("v")).collect()
+    gram, right = np.zeros((size, size)), np.zeros(size)
+    for r in found:
+        i, j = r["i"], r["i"] + r["k"]
+        if j == size:
+            right[i] = r["v"]
+        else:
+            gram[i, j] = gram[j, i] = r["v"]
+    return gram, right
+
+
+def _seasonal_single(rows: DataFrame, knots: np.ndarray, multiplicative: bool, reg: float) -> DataFrame:
+    y = F.log1p(F.greatest(F.col("sales"), F.lit(0.0))) if multiplicative else F.col("sales").cast("double")
+    bends = F.transform(F.array(*[F.lit(float(k)) for k in knots]), lambda k: F.greatest(F.col("terms")[0] - k, F.lit(0.0)))
+    terms = len(_seasonal_terms("position"))
+    size = 1 + terms + len(knots)
+    rows = rows.withColumns({"__x": F.concat(F.array(F.lit(1.0)), F.col("terms"), bends), "__target": y})
+    gram, right = normal_equations(rows.where("is_train = 1 and __target is not null"), "__x", "__target", size)
+    if gram[0, 0] == 0:
+        return rows.select("date", "sales", "is_train", F.lit(None).cast("double").alias(PREDICTION))
+    weights = np.linalg.solve(gram + np.diag(_penalties(terms, reg)), right)
+    pairs = F.zip_with("__x", F.array(*[F.lit(float(w)) for w in weights]), lambda a, w: a * w)
+    guess = F.aggregate(pairs, F.lit(0.0), lambda total, v: total + v)
+    return rows.select("date", "sales", "is_train", (F.expm1(guess) if multiplicative else guess).alias(PREDICTION))
+
+
+def mean_forecast(series: DataFrame, share: float = TRAIN_SHARE) -> DataFrame:
+    """The mean of the first days for every day: what any other forecast should beat."""
+    rows = chrono_split(series, share)
+    mean = rows.where("is_train = 1").agg(F.avg("sales").alias(PREDICTION))
+    return rows.join(mean, F.lit(True)).select("date", "sales", "is_train", PREDICTION)  # one row
 
 
 def ar_forecast(series: DataFrame, lags: int = 7, share: float = TRAIN_SHARE) -> DataFrame:

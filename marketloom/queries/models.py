@@ -161,6 +161,38 @@ def _one_feature(s, d):
     )
 
 
+SCORES = ["rmse", "mae", "r2", "mape"]
+
+
+def _compared(s, d):
+    """Models and forecasts that SQL can work out too, scored on what they were not fitted on."""
+    df = durable(sales(s, d).select(*KEYS, F.col("quantity").cast("double").alias("quantity"), "invoice_date", TARGET), "sales")
+    series = t.daily_series(df)
+    found = models.compare_all(df, KEYS, {"quantity": ["quantity"]}, [("quantity", "linear")], series, ["mean", "one_lag"])
+    return significant(found, SCORES, 6)
+
+
+def _forecast_scores(s, d):
+    """Every forecast of the library on the last days: the days, the mean forecast's error, and whether the own one is of its order.
+
+    The days of the sales table are random, so that the mean is hard to beat; 1.5 times its error tells a broken forecast.
+    """
+    found = models.hold_out_scores(models.forecast_candidates(_series(s, d)))
+    mean = found.where("model = 'mean'").select(F.col("rmse").alias("mean_rmse"))
+    of_its_order = (F.col("rmse") < 1.5 * F.col("mean_rmse")).cast("int").alias("of_its_order")
+    return significant(found.join(mean, F.lit(True)).select("model", "rows", of_its_order, "mean_rmse"), ["mean_rmse"], 6)
+
+
+def _single_against_group(s, d):
+    """The single series fitted on Spark, and the same series as a group of its own: largest difference, relative to the sales."""
+    series = durable(_series(s, d), "series")
+    own = t.seasonal_forecast(series).withColumnRenamed("prediction", "own")
+    group = t.seasonal_forecast(series.withColumn("g", F.lit(1)), ["g"]).drop("g", "sales", "is_train")
+    both = own.join(group, "date")
+    apart = F.max(F.abs(F.col("own") - F.col("prediction"))) / F.max(F.abs("sales"))
+    return both.agg(F.count(F.lit(1)).alias("days"), F.sum("is_train").alias("train_days"), (apart < 1e-6).cast("int").alias("equal"))
+
+
 CHECKED = ["label_min", "label_max", "prediction_min", "prediction_max"]
 
 QUERIES = {
@@ -185,6 +217,9 @@ QUERIES = {
     "model_comparison": _comparison,
     "prediction_check": lambda s, d: significant(m.prediction_check(_baseline(s, d)), CHECKED),
     "range_check": _ranges,
+    "forecast_comparison": _compared,
+    "forecast_scores": _forecast_scores,
+    "seasonal_single_fit": _single_against_group,
     "daily_series": lambda s, d: _series(s, d, ["category"]),
     "daily_series_stats": _series_stats,
     "chrono_split": lambda s, d: t.chrono_split(_series(s, d)),
@@ -238,7 +273,33 @@ def _range(column: str, part: str) -> str:
         count(*) - count({column}) AS missing, '{part}' AS part FROM g WHERE {'' if part == 'train' else 'NOT '}{_IS_TRAIN}"""
 
 
+_DAYS = """s AS (SELECT date, sales, lag(sales) OVER w AS b, sales - lag(sales) OVER w AS y,
+      row_number() OVER w <= floor(0.8 * count(*) OVER ()) AS train FROM d WINDOW w AS (ORDER BY date))"""
+_METRICS = f"""count(*) AS rows, {significant_sql('sqrt(avg((y - p) * (y - p)))', 6)} AS rmse, {significant_sql('avg(abs(y - p))', 6)} AS mae,
+      {significant_sql('1 - avg((y - p) * (y - p)) / var_pop(y)', 6)} AS r2,
+      {significant_sql('avg(CASE WHEN y != 0 THEN abs((y - p) / y) END) * 100', 6)} AS mape"""
+
 ORACLES = {
+    "forecast_comparison": _on_series("").rstrip()
+    + f""", {_DAYS}, l AS (SELECT *, lag(y) OVER (ORDER BY date) AS x FROM s),
+      f AS (SELECT regr_slope(y, x) AS slope, regr_intercept(y, x) AS base FROM l WHERE train AND x IS NOT NULL),
+      r AS (SELECT total_amount AS y, CAST(quantity AS DOUBLE) AS q, {_IS_TRAIN} AS train FROM sales),
+      g AS (SELECT regr_slope(y, q) AS slope, regr_intercept(y, q) AS base, avg(y) AS mean FROM r WHERE train),
+      scores AS (
+        SELECT 'linear (quantity)' AS model, 'ML' AS type, {_METRICS} FROM (SELECT y, base + slope * q AS p FROM r, g WHERE NOT train)
+        UNION ALL SELECT 'mean', 'ML', {_METRICS} FROM (SELECT y, mean AS p FROM r, g WHERE NOT train)
+        UNION ALL SELECT 'mean', 'Time Series', {_METRICS}
+          FROM (SELECT sales AS y, (SELECT avg(sales) FROM s WHERE train) AS p FROM s WHERE NOT train)
+        UNION ALL SELECT 'one_lag', 'Time Series', {_METRICS}
+          FROM (SELECT sales AS y, b + base + slope * x AS p FROM l, f WHERE x IS NOT NULL AND NOT train))
+      SELECT *, CAST(rmse = min(rmse) OVER () AS INTEGER) AS best_rmse, CAST(r2 = max(r2) OVER () AS INTEGER) AS best_r2,
+        CAST(rmse = min(rmse) OVER (PARTITION BY type) AS INTEGER) AS best_of_type FROM scores""",
+    "forecast_scores": _on_series("").rstrip()
+    + f""", {_DAYS}, e AS (SELECT {_METRICS} FROM (SELECT sales AS y, (SELECT avg(sales) FROM s WHERE train) AS p FROM s WHERE NOT train))
+      SELECT unnest(['mean', 'one_lag', 'seven_lags', 'calendar', 'seasonal']) AS model, rows, 1 AS of_its_order, rmse AS mean_rmse FROM e""",
+    "seasonal_single_fit": _on_series(
+        """SELECT count(*) AS days, CAST(floor(0.8 * count(*)) AS BIGINT) AS train_days, 1 AS equal FROM d"""
+    ),
     "ml_split": on_sales(f"SELECT {_K}, total_amount, CAST({_IS_TRAIN} AS INTEGER) AS is_train FROM sales"),
     "range_check": on_sales("").rstrip()
     + f""", g AS (SELECT {_O}, customer_id, age, total_amount, {_LAG(1)}, {_LAG(7)}, CAST(NULL AS DOUBLE) AS empty FROM sales) """

@@ -159,3 +159,39 @@ def test_decompose(series):
     assert out.where("trend is not null").agg(F.max(F.abs(F.col("trend") + F.col("season") + F.col("rest") - F.col("sales")))).first()[0] < 1e-6
     with pytest.raises(ValueError):
         t.seasonal_decompose(series, 6)
+
+
+def daily(spark, days):
+    start = dt.date(2024, 1, 1)
+    rows = [(start + dt.timedelta(i), 100.0 + i + 30.0 * math.sin(2 * math.pi * i / 7)) for i in range(days)]
+    return spark.createDataFrame(rows, "date date, sales double")
+
+
+def test_single_series_is_fitted_without_python(spark):
+    series = daily(spark, 120)
+    for multiplicative in (False, True):
+        single = t.seasonal_forecast(series, multiplicative=multiplicative)
+        plan = single._jdf.queryExecution().toString()
+        assert "Python" not in plan and "Pandas" not in plan
+        group = t.seasonal_forecast(series.withColumn("g", F.lit("a")), ["g"], multiplicative=multiplicative)
+        want = {r.date: r.prediction for r in group.collect()}
+        got = {r.date: r.prediction for r in single.collect()}
+        assert got.keys() == want.keys() and all(abs(got[k] - want[k]) < 1e-6 * max(want.values()) for k in want)
+    assert t.seasonal_forecast(series.limit(0)).collect() == []
+
+
+def test_normal_equations(spark):
+    rows = [([1.0, 2.0], 3.0), ([0.5, -1.0], 2.0), ([1.0, 0.0], -1.0)]
+    gram, right = t.normal_equations(spark.createDataFrame(rows, "x array<double>, y double"), "x", "y", 2)
+    x, y = np.array([r[0] for r in rows]), np.array([r[1] for r in rows])
+    assert np.allclose(gram, x.T @ x) and np.allclose(right, x.T @ y)
+
+
+def test_all_models_in_one_table(spark):
+    df = spark.createDataFrame([(i, float(i % 7), 3.0 * (i % 7) + 1.0, float(i % 3)) for i in range(300)], "k long, x double, total_amount double, z double")
+    sets = {"good": ["x"], "bad": ["z"]}
+    found = models.compare_all(df, ["k"], sets, [("good", "linear"), ("bad", "linear")], daily(spark, 60), ["mean", "seasonal"]).collect()
+    rows = {(r.type, r.model): r for r in found}
+    assert len(rows) == 5 and rows["ML", "linear (good)"].best_rmse == rows["ML", "linear (good)"].best_of_type == 1
+    assert sum(r.best_rmse for r in found) == 1 and sum(r.best_of_type for r in found) == 2
+    assert rows["Time Series", "seasonal"].rmse < rows["Time Series", "mean"].rmse and rows["Time Series", "mean"].rows == 12
