@@ -9,7 +9,7 @@ Its vectors stay in the tasks; the driver gets one row per gram bucket and one p
 
 Rejection is by distance. Short texts lie farther from any centroid than long ones, so the largest distance allowed depends
 on length: a text must be at least ``SLACK`` times as similar to its centroid as the least similar training document that is
-about as long or longer. Texts shorter than all of these pass. Texts without a letter are rejected.
+about as long or longer. Texts shorter than all of these pass. Texts without a letter (a character of a Unicode letter category) are rejected.
 
 Defined results: a missing text and one without letters are ``und`` with score 0; if nothing can be learned all are ``und``;
 rows with a missing label teach nothing; repeated rows each get a row; an empty table gives no rows. The score is the cosine.
@@ -17,12 +17,12 @@ rows with a missing label teach nothing; repeated rows each get a row; an empty
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -31,7 +31,7 @@ from marketloom.session import durable
 BUCKETS = 4096  # for each gram length
 CENTROIDS, SAMPLE, SLACK = 4, 1000, 0.5
 UNKNOWN = "und"
-_LETTER = re.compile(r"[^\W\d_]")
+_LETTER = regex.compile(r"\p{L}")
 _GAPS = bytes(b if b >= 0x80 or 0x61 <= b <= 0x7A else 0x20 for b in range(256))
 _STEP = 1 << 20
 
@@ -74,7 +74,8 @@ def _centroids(vectors: np.ndarray, k: int, rounds: int = 12) -> np.ndarray:
         own = np.argmax(vectors @ centres.T, axis=1)
         for c in range(len(centres)):
             if (own == c).any():
-                m = vectors[own == c].sum(axis=0)
+                # A product with the membership adds the members up without a copy of them.
+                m = (own == c).astype(np.float32) @ vectors
                 centres[c] = m / max(np.linalg.norm(m), 1e-12)
     return centres
 
@@ -137,11 +138,15 @@ def fit(
         texts = sorted(t for t in group["text"] if has_letter(t))
         if not texts:
             return pd.DataFrame({"lang": [], "centre": [], "least": []}, dtype=object)
-        grams = [gram_counts(t) for t in texts]
-        vectors = np.array([_vector(c, idf) for c in grams])
+        # The one large array of a task: a row for each text of the sample.
+        vectors = np.empty((len(texts), 2 * BUCKETS), np.float32)
+        bins = np.empty(len(texts), np.int64)
+        for i, text in enumerate(texts):
+            counts = gram_counts(text)
+            vectors[i] = _vector(counts, idf)
+            bins[i] = int(np.log2(counts[:BUCKETS].sum() + 1))
         centres = _centroids(vectors, k)
         near = np.max(vectors @ centres.T, axis=1)
-        bins = np.array([int(np.log2(c[:BUCKETS].sum() + 1)) for c in grams])
         least = [float(near[bins == b].min()) if (bins == b).any() else 2.0 for b in range(32)]
         return pd.DataFrame({"lang": group["lang"].iloc[0], "centre": [c.tobytes() for c in centres], "least": [least] * len(centres)})
 

@@ -110,3 +110,12 @@ def test_quality_edges(spark):
     assert {r.score for r in docs.select(quality.quality_scores(docs, flat).alias("score")).collect()} == {0.5}
     none = empty_docs(spark)
     assert none.select(quality.quality_scores(none, model)).collect() == []
+
+
+def test_number_characters_are_no_letters(spark):
+    texts = ["²", "½ ①", "Ⅷ", "_ 12 %", "́", "ß", "語", "ʰ"]
+    assert [language_id.has_letter(t) for t in texts] == [False] * 5 + [True] * 3
+    train = docs_of(spark, [(i, f"the cat and the dog {i}", "en", "a") for i in range(5)])
+    model = language_id.fit(train)
+    docs = docs_of(spark, [(i, t) for i, t in enumerate(texts[:5])])
+    assert all(r.x.lang == "und" for r in docs.select(language_id.identify(docs, model).alias("x")).collect())
