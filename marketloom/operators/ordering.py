@@ -78,18 +78,29 @@ def _window(groups: Sequence[str], order: Sequence[str]) -> WindowSpec:
 def _halo(cut: DataFrame, groups: Sequence[str], order: Sequence[str], lookback: int) -> DataFrame:
     """For every (group, segment) the ``lookback`` rows of its group just before it, tagged with that segment.
 
-    Works on the last ``lookback`` rows of every segment only, so the per-group window sees a bounded number of rows.
+    Each segment keeps a buffer of its last ``lookback`` rows and hands it to the next one. Where segments are shorter than that,
+    buffers are first merged with those one, two, four, ... segments before until all are full, so every row of the small buffer
+    table meets one other by an ordinary join, and no task sees more than a few buffers of a group.
     """
-    backwards = Window.partitionBy(*groups, SEGMENT).orderBy(*descending(order))
+    keys = [*groups, SEGMENT]
+    backwards = Window.partitionBy(*keys).orderBy(*descending(order))
     tails = cut.withColumn("__back", F.row_number().over(backwards)).where(F.col("__back") <= lookback)
-    along = _window(groups, order)
-    gathered = tails.withColumn(
-        "__rows", F.collect_list(F.struct(*[F.col(c) for c in cut.columns])).over(along.rowsBetween(1 - lookback, 0))
-    )
-    ends = gathered.where(F.col("__back") == 1).select(
-        *groups, "__rows", F.lead(SEGMENT).over(Window.partitionBy(*groups).orderBy(SEGMENT)).alias("__next")
-    )
-    rows = ends.where(F.col("__next").isNotNull()).select("__next", F.explode("__rows").alias("__row"))
+    row = F.struct(*[F.col(c) for c in cut.columns])
+    held = F.array_sort(F.collect_list(F.struct("__back", row.alias("row"))), lambda a, b: b["__back"] - a["__back"])
+    own = durable(tails.groupBy(*keys).agg(F.transform(held, lambda x: x["row"]).alias("__buffer")), "tails")
+    # A group's segments follow one another; one without rows has an empty buffer.
+    spans = own.groupBy(*groups).agg(F.min(SEGMENT).alias("__first"), F.max(SEGMENT).alias("__last"))
+    along = spans.select(*groups, "__first", F.explode(F.sequence("__first", "__last")).alias(SEGMENT))
+    none = F.array().cast(own.schema["__buffer"].dataType)
+    buffers = along.join(own, keys, "left").withColumn("__buffer", F.coalesce("__buffer", none))
+    step = 1
+    while not buffers.where((F.size("__buffer") < lookback) & (F.col(SEGMENT) - step >= F.col("__first"))).isEmpty():
+        before = buffers.select(*groups, (F.col(SEGMENT) + step).alias(SEGMENT), F.col("__buffer").alias("__before"))
+        both = F.concat(F.coalesce("__before", none), "__buffer")
+        last = F.slice(both, F.greatest(F.size(both) - lookback, F.lit(0)) + 1, F.lit(lookback))
+        buffers = durable(buffers.join(before, keys, "left").withColumn("__buffer", last).drop("__before"), "buffers")
+        step *= 2
+    rows = buffers.select((F.col(SEGMENT) + 1).alias("__next"), F.explode("__buffer").alias("__row"))
     return rows.select(
         *[F.col("__next").alias(c) if c == SEGMENT else F.col(f"__row.{c}").alias(c) for c in cut.columns]
     )

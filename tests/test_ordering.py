@@ -1,6 +1,7 @@
 """The split path must equal one plain window, also with a dominant group, null groups and empty segments."""
 
 import random
+import re
 
 import pytest
 from pyspark.sql import Window
@@ -83,3 +84,24 @@ def test_empty(spark):
     assert o.ordered_columns(empty, ORDER, OUT, 8, ["g"], TOTALS, 10).count() == 0
     assert o.ordered_columns(empty, ORDER, OUT, 8, hot_rows=10).count() == 0
     assert o.forward_fill(empty, ["v"], ORDER).count() == 0
+
+
+@pytest.mark.parametrize("segments, groups", [(1, []), (2, []), (40, ["g"]), (2000, []), (2000, ["g"])])
+def test_carry_over_segments_of_any_length(spark, monkeypatch, segments, groups):
+    """Lags and rolling sums that reach over several segments, and segments without rows, as one window gives them."""
+    data = [(k % 2 if groups else 0, k, float(k * 7 % 11)) for k in range(300)]
+    df = spark.createDataFrame(data, "g int, k int, v double")
+
+    def cut(df, groups, order, rows, hot_rows):
+        at = F.least(F.floor(F.col("k") / 300 * segments), F.lit(segments - 1)).cast("int")
+        return o.durable(df.withColumn(o.SEGMENT, at), "segments")
+
+    outputs = {"lag": lambda w: F.lag("v", 25).over(w), "sum": lambda w: F.sum("v").over(w.rowsBetween(-25, 0))}
+    with monkeypatch.context() as m:
+        m.setattr(o, "segmented", cut)
+        got = o.ordered_columns(df, ["k"], outputs, 25, groups, hot_rows=10)
+    # Every window is cut by group or segment.
+    first = re.findall(r"windowspecdefinition\((\w+)#", got._jdf.queryExecution().optimizedPlan().toString())
+    assert first and set(first) <= {o.SEGMENT, "g"}
+    want = o.ordered_columns(df, ["k"], outputs, 25, groups, hot_rows=10_000)
+    assert collected(got) == collected(want)
