@@ -79,7 +79,8 @@ def label_codes(df: DataFrame, columns: Sequence[str], hot_rows: int = HOT_ROWS)
     numbers = set(numeric_columns(df.select(*columns)))
     # Numbers are ordered as numbers, everything else as text.
     number = F.when(F.col("column").isin(*numbers), F.col("value").cast("double")) if numbers else F.lit(None).cast("double")
-    levels = profiling.value_counts(df, columns).drop("rows").withColumn("__number", number)
+    # Stored, since numbering looks for columns with very many values first.
+    levels = durable(profiling.value_counts(df, columns).drop("rows").withColumn("__number", number), "levels")
     numbered = row_numbers(levels, ["__number", "value"], "n", ["column"], hot_rows)
     return numbered.select("column", "value", (F.col("n") - 1).cast("int").alias("code"))
 

@@ -77,7 +77,7 @@ QUERIES = {
     "rolling_global": _rolling([]),
     "date_features": _dates,
     "encode_label": lambda s, d: f.label_encode(
-        raw_sales(s, d).select(*KEYS, *TEXT_COLUMNS, "quantity", "price"), [*TEXT_COLUMNS, "quantity", "price"]
+        durable(raw_sales(s, d).select(*KEYS, *TEXT_COLUMNS, "quantity", "price"), "raw"), [*TEXT_COLUMNS, "quantity", "price"]
     ),
     "encode_onehot": _onehot,
     "encode_frequency": lambda s, d: f.frequency_encode(raw_sales(s, d).select(*KEYS, "category", "loyalty_tier"), ["category", "loyalty_tier"]),
