@@ -14,16 +14,23 @@ from marketloom.session import durable
 AMOUNT, CUSTOMER, DATE = "total_amount", "customer_id", "invoice_date"
 
 
-def sales_totals(avg: str = "avg_transaction", quantity: bool = True) -> list[Column]:
+def named(column: str) -> Column:
+    """A column by its exact name, which may hold dots."""
+    return F.col(f"`{column.replace('`', '``')}`")
+
+
+def sales_totals(
+    avg: str = "avg_transaction", quantity: bool = True, amount: str = AMOUNT, customer: str = CUSTOMER
+) -> list[Column]:
     """Total sales, quantity, transactions, distinct customers and mean transaction; null customers do not count."""
-    measures = [amounts.total(AMOUNT).alias("total_sales")]
+    measures = [amounts.total(named(amount)).alias("total_sales")]
     if quantity:
         measures.append(amounts.total("quantity").alias("total_quantity"))
     return [
         *measures,
         amounts.row_count().alias("transaction_count"),
-        F.countDistinct(CUSTOMER).alias("unique_customers"),
-        amounts.mean(AMOUNT).alias(avg),
+        F.countDistinct(named(customer)).alias("unique_customers"),
+        amounts.mean(named(amount)).alias(avg),
     ]
 
 
@@ -35,46 +42,50 @@ PERIODS = {
 }
 
 
-def sales_by_period(df: DataFrame, period: str = "day", date: str = DATE) -> DataFrame:
+def sales_by_period(
+    df: DataFrame, period: str = "day", date: str = DATE, amount: str = AMOUNT, customer: str = CUSTOMER
+) -> DataFrame:
     """Sales per day, ISO week, month or year, in order of time."""
     if period not in PERIODS:
         raise ValueError(f"unknown period: {period}")
-    parts = PERIODS[period](F.col(date))
-    return df.groupBy(*[e.alias(n) for n, e in parts.items()]).agg(*sales_totals()).orderBy(*parts)
+    parts = PERIODS[period](named(date))
+    totals = sales_totals(amount=amount, customer=customer)
+    return df.groupBy(*[e.alias(n) for n, e in parts.items()]).agg(*totals).orderBy(*parts)
 
 
-def sales_by_category(df: DataFrame) -> DataFrame:
+def sales_by_category(df: DataFrame, category: str = "category", amount: str = AMOUNT, customer: str = CUSTOMER) -> DataFrame:
+    """Sales per value of a column, the largest first."""
     return (
-        df.groupBy("category")
-        .agg(*sales_totals(), amounts.mean("price").alias("avg_price"))
-        .orderBy(F.desc("total_sales"), F.asc_nulls_first("category"))
+        df.groupBy(named(category))
+        .agg(*sales_totals(amount=amount, customer=customer), amounts.mean("price").alias("avg_price"))
+        .orderBy(F.desc("total_sales"), named(category).asc_nulls_first())
     )
 
 
-def customer_rfm(df: DataFrame) -> DataFrame:
+def customer_rfm(df: DataFrame, customer: str = CUSTOMER, date: str = DATE, amount: str = AMOUNT) -> DataFrame:
     """Last and first purchase, number of rows, amount and mean amount per customer."""
     return (
-        df.groupBy(CUSTOMER)
+        df.groupBy(named(customer))
         .agg(
-            F.max(DATE).alias("last_purchase"),
-            F.min(DATE).alias("first_purchase"),
+            F.max(named(date)).alias("last_purchase"),
+            F.min(named(date)).alias("first_purchase"),
             amounts.row_count().alias("frequency"),
-            amounts.total(AMOUNT).alias("monetary"),
-            amounts.mean(AMOUNT).alias("avg_transaction"),
+            amounts.total(named(amount)).alias("monetary"),
+            amounts.mean(named(amount)).alias("avg_transaction"),
         )
-        .orderBy(F.desc("monetary"), F.asc_nulls_first(CUSTOMER))
+        .orderBy(F.desc("monetary"), named(customer).asc_nulls_first())
     )
 
 
-def top_categories(df: DataFrame, k: int = 10) -> DataFrame:
+def top_categories(df: DataFrame, k: int = 10, category: str = "category", amount: str = AMOUNT) -> DataFrame:
     return (
-        df.groupBy("category")
+        df.groupBy(named(category))
         .agg(
-            amounts.total(AMOUNT).alias("total_sales"),
+            amounts.total(named(amount)).alias("total_sales"),
             amounts.total("quantity").alias("total_quantity"),
             amounts.row_count().alias("transaction_count"),
         )
-        .orderBy(F.desc("total_sales"), F.asc_nulls_first("category"))
+        .orderBy(F.desc("total_sales"), named(category).asc_nulls_first())
         .limit(k)
     )
 
@@ -100,15 +111,15 @@ def sales_by_demographics(df: DataFrame, fields: Sequence[str] = ("gender", "age
     ).orderBy("dimension", F.desc("total_sales"), F.asc_nulls_first("dimension_value"))
 
 
-def sales_by_payment(df: DataFrame) -> DataFrame:
+def sales_by_payment(df: DataFrame, method: str = "payment_method", amount: str = AMOUNT) -> DataFrame:
     """Sales per payment method with its share of the transactions in percent."""
-    grouped = df.groupBy("payment_method").agg(
-        amounts.total(AMOUNT).alias("total_sales"),
+    grouped = df.groupBy(named(method)).agg(
+        amounts.total(named(amount)).alias("total_sales"),
         amounts.row_count().alias("transaction_count"),
-        amounts.mean(AMOUNT).alias("avg_transaction"),
+        amounts.mean(named(amount)).alias("avg_transaction"),
     )
     return with_share(grouped, "transaction_count", "percentage").orderBy(
-        F.desc("total_sales"), F.asc_nulls_first("payment_method")
+        F.desc("total_sales"), named(method).asc_nulls_first()
     )
 
 

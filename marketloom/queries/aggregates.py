@@ -55,6 +55,11 @@ QUERIES = {
     "sales_by_year": lambda s, d: a.sales_by_period(sales(s, d), "year"),
     "sales_by_category": lambda s, d: a.sales_by_category(sales(s, d)),
     "customer_rfm": lambda s, d: a.customer_rfm(sales(s, d)),
+    "sales_by_mall": lambda s, d: a.sales_by_category(sales(s, d), "shopping_mall"),
+    "shipping_by_month": lambda s, d: a.sales_by_period(
+        table(s, d, "lineitem").select(F.col("l_shipdate").alias("ship.date"), F.col("l_extendedprice").alias("net.amount"),
+            F.col("l_suppkey").alias("supplier.key"), F.col("l_quantity").alias("quantity")),
+        "month", "ship.date", "net.amount", "supplier.key"),
     "top_categories": lambda s, d: a.top_categories(sales(s, d)),
     "sales_by_demographics": lambda s, d: a.sales_by_demographics(sales(s, d)),
     "sales_by_payment": lambda s, d: a.sales_by_payment(sales(s, d)),
@@ -116,6 +121,10 @@ ORACLES = {
     "sales_by_month": _by(f"{INT(f'year({_D})', 'year')}, {INT(f'month({_D})', 'month')}"),
     "sales_by_year": _by(INT(f"year({_D})", "year")),
     "sales_by_category": _by("category", f"{TOTALS}, {mean('price')} AS avg_price"),
+    "sales_by_mall": _by("shopping_mall", f"{TOTALS}, {mean('price')} AS avg_price"),
+    "shipping_by_month": f"""SELECT CAST(year(l_shipdate) AS INTEGER) AS year, CAST(month(l_shipdate) AS INTEGER) AS month,
+        {money('l_extendedprice')} AS total_sales, {money('l_quantity')} AS total_quantity, count(*) AS transaction_count,
+        count(DISTINCT l_suppkey) AS unique_customers, {mean('l_extendedprice')} AS avg_transaction FROM lineitem GROUP BY 1, 2""",
     "customer_rfm": _by(
         "customer_id",
         f"""max(invoice_date) AS last_purchase, min(invoice_date) AS first_purchase, count(*) AS frequency,
