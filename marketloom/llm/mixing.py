@@ -14,8 +14,10 @@ these (1/2000 of the text). If the shares repeat sooner (they have a common divi
 The mix ends when every source has been read whole once. Sources whose weight is above their share of the data are
 read again by then (``epoch`` counts from 0), so no document is left out and the weights hold to the end.
 
-Without given weights a source's is its bytes to the power of ``power``, which raises small sources. Given weights need
-not add up to 1; every source of the table needs one.
+Without given weights a source's is its bytes, rounded up to whole blocks, to the power of ``power`` (below 1), which raises small
+sources. So the source of most blocks is the last to be read whole, and one of fewer blocks, even of a few bytes, makes no other
+source come again: with B blocks in the largest, a source of n is read (B / n) ** (1 - power) times, rounded up by a block. Given
+weights need not add up to 1; every source of the table needs one, and one far below its share of the data makes the others come again.
 
 Defined results: documents without a source are a source of their own (null); missing and empty texts have size 8; repeated
 rows are rows of their own, in any order among themselves; an empty table gives no rows. More sources than ``resolution``,
@@ -61,29 +63,6 @@ def shares(weights: list[float], resolution: int) -> list[int]:
     return [x + 1 for x in out]
 
 
-def cycle(spark, parts: list[int]) -> DataFrame:
-    """(index, k, slot): where the k-th block of each source stands in one cycle, as an expression; sum(parts) rows, for small sums."""
-    total = sum(parts)
-    weights = F.array(*[F.lit(p) for p in parts])
-    none = F.array().cast("array<struct<slot:int,index:int,k:int>>")
-    start = F.struct(F.array(*[F.lit(0) for _ in parts]).alias("done"), none.alias("placed"))
-
-    def step(state: Column, t: Column) -> Column:
-        def window(p: Column, i: Column) -> Column:
-            k = F.get(state["done"], i)
-            released = (k < p) & (k * total < (t + 1) * p)
-            return F.when(released, F.struct(F.ceil((k + 1) * total / p).alias("deadline"), i.alias("index"), k.alias("k")))
-
-        pick = F.array_min(F.transform(weights, window))
-        done = F.transform(state["done"], lambda n, i: F.when(i == pick["index"], n + 1).otherwise(n))
-        row = F.struct(t.alias("slot"), pick["index"].alias("index"), pick["k"].alias("k"))
-        return F.struct(done.alias("done"), F.concat(state["placed"], F.array(row)).alias("placed"))
-
-    slots = F.sequence(F.lit(0), F.lit(total - 1))
-    one = spark.range(1, numPartitions=1).select(F.aggregate(slots, start, step).alias("state"))
-    return one.select(F.explode("state.placed").alias("x")).select("x.index", "x.k", "x.slot")
-
-
 def slots(parts: list[int], length: int) -> list[np.ndarray]:
     """The slots below ``length`` of each source's blocks, earliest deadline first, for weights ``parts`` / sum(parts)."""
     total = sum(parts)
@@ -124,9 +103,9 @@ def schedule(
     if not totals:
         empty = rows.withColumn("offset", F.lit(0).cast("long")).withColumn("epoch", F.lit(0).cast("long"))
         return empty.withColumns({c: F.lit(0).cast("long") for c in SCHEDULE[3:]}).select(*kept, *SCHEDULE)
-    wanted = [float(t["bytes"]) ** power if weights is None else weights.get(t["source"], 0.0) for t in totals]
-    parts = shares(wanted, resolution)
     blocks = [-(-t["bytes"] // block_bytes) for t in totals]
+    wanted = [float(n * block_bytes) ** power if weights is None else weights.get(t["source"], 0.0) for n, t in zip(blocks, totals)]
+    parts = shares(wanted, resolution)
     common = math.gcd(*parts)
     parts, total = [p // common for p in parts], resolution // common
     length = max(-(-n * total // p) for n, p in zip(blocks, parts, strict=True))

@@ -3,7 +3,7 @@ from collections import Counter, defaultdict
 import pytest
 from pyspark.sql import functions as F
 
-from marketloom.llm.mixing import RESOLUTION, cycle, mixed, schedule, shares, size_of, slots
+from marketloom.llm.mixing import RESOLUTION, mixed, schedule, shares, size_of, slots
 from tests.llm.frames import docs_of, edge_rows, empty_docs
 
 
@@ -19,8 +19,8 @@ def plain_cycle(parts):
 
 
 @pytest.mark.parametrize("parts", [[1], [3, 1], [7, 2, 1], [1, 1, 1, 1], [13, 40, 29, 5, 13]])
-def test_cycle_is_edf_and_fair(spark, parts):
-    got = sorted((tuple(r) for r in cycle(spark, parts).collect()), key=lambda r: r[2])
+def test_slots_are_edf_and_fair(parts):
+    got = sorted(((i, k, int(t)) for i, own in enumerate(slots(parts, sum(parts))) for k, t in enumerate(own)), key=lambda r: r[2])
     assert got == plain_cycle(parts)
     total, done = sum(parts), Counter()
     for i, k, t in got:
@@ -112,3 +112,23 @@ def test_more_sources_than_a_thousand_and_a_hot_one(spark):
     assert 7100 <= len(out) <= 7102 and {r.doc_id for r in out if r.epoch == 0} == set(range(7100))
     assert sorted(r.position for r in out) == list(range(len(out)))
     assert all(r.release <= r.position < r.deadline for r in out)
+
+
+def test_a_tiny_source_does_not_make_the_others_come_again(spark):
+    rows = [(i, "x" * 300, "en", "big") for i in range(4000)] + [(9000, "tiny", "en", "small")]
+    out = run(spark, rows, block_bytes=2000)
+    assert len(out) <= 2 * len(rows)
+    epochs = Counter(r.doc_id for r in out)
+    assert epochs.keys() == {r[0] for r in rows} and max(epochs[i] for i in range(4000)) <= 2
+    assert all(r.release <= r.position < r.deadline for r in out)
+
+
+def test_the_largest_source_is_read_once_whatever_the_others_hold(spark):
+    sizes = {"a": 900, "b": 300, "c": 40, "d": 3, "e": 1}
+    rows = [(f"{s}{i}", "y" * 492, "en", s) for s, n in sizes.items() for i in range(n)]
+    docs = spark.createDataFrame([(i, t, s) for i, t, _, s in rows], "doc_id string, text string, source string")
+    out = schedule(docs, size_of(F.col("text")), block_bytes=500).collect()
+    read = Counter(r.source for r in out)
+    # Blocks of one document each: a source of n blocks comes (900 / n) ** 0.2 times, to a block.
+    for s, n in sizes.items():
+        assert abs(read[s] - n * (900 / n) ** 0.2) <= 1.5
