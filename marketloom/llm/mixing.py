@@ -7,9 +7,10 @@ with the earliest deadline is placed (ties: the first source by name). With weig
 after any number of slots a source is less than one block away from its weight.
 
 Weights are whole shares of ``resolution`` (2**31: a weight is met to 1/2**31, and the least one is that), so rounding moves a source
-by less than a block in two thousand million slots. The driver goes through the slots once with two heaps (a few microseconds a
-slot, a slot is ``block_bytes`` of text) and keeps 8 bytes a slot; every block finds its slot by its number in a broadcast table of
-these (1/2000 of the text). If the shares repeat sooner (they have a common divisor), only one cycle is worked out.
+by less than a block in two thousand million slots. A block has ``block_bytes``, or the least whole multiple of it with which the mix has
+at most ``max_slots`` slots (2**22: blocks grow from 64 GB of mix on, to 24 MB at 100 TB). So the slots are a list of bounded length at
+every size: the driver goes through it once with two heaps (a few seconds at most), and every block finds its slot by its number in a
+broadcast table of it, 4 bytes a slot and 16 MB at most. If the shares repeat sooner (they have a common divisor), the list is one cycle.
 
 The mix ends when every source has been read whole once. Sources whose weight is above their share of the data are
 read again by then (``epoch`` counts from 0), so no document is left out and the weights hold to the end.
@@ -21,7 +22,8 @@ weights need not add up to 1; every source of the table needs one, and one far b
 
 Defined results: documents without a source are a source of their own (null); missing and empty texts have size 8; repeated
 rows are rows of their own, in any order among themselves; an empty table gives no rows. More sources than ``resolution``,
-a source without a positive weight, and a mix of over 2**32 slots raise ValueError. Columns of the input keep their names; columns of the schedule replace
+a source without a positive weight, and one whose given weight is so small that the others must fill ``max_slots`` slots before its
+single block raise ValueError. Columns of the input keep their names; columns of the schedule replace
 columns of the same name.
 """
 
@@ -37,6 +39,8 @@ from pyspark.sql import functions as F
 from marketloom.llm.common import bucket_count, ranked
 
 RESOLUTION, BLOCK_BYTES, POWER = 1 << 31, 16_384, 0.8
+#: Slots that the driver works out and broadcasts at most.
+MAX_SLOTS = 1 << 22
 #: Slots of one row of the broadcast table.
 PART = 4096
 SCHEDULE = ["size", "offset", "epoch", "block", "release", "deadline", "position"]
@@ -92,6 +96,7 @@ def schedule(
     resolution: int = RESOLUTION,
     block_bytes: int = BLOCK_BYTES,
     power: float = POWER,
+    max_slots: int = MAX_SLOTS,
 ) -> DataFrame:
     """``docs``, each row once per epoch, with ``size``, ``offset`` (bytes of the source before it), ``epoch``, ``block``
     (over all epochs), ``release``, ``deadline`` and ``position`` (its slot)."""
@@ -103,14 +108,18 @@ def schedule(
     if not totals:
         empty = rows.withColumn("offset", F.lit(0).cast("long")).withColumn("epoch", F.lit(0).cast("long"))
         return empty.withColumns({c: F.lit(0).cast("long") for c in SCHEDULE[3:]}).select(*kept, *SCHEDULE)
-    blocks = [-(-t["bytes"] // block_bytes) for t in totals]
-    wanted = [float(n * block_bytes) ** power if weights is None else weights.get(t["source"], 0.0) for n, t in zip(blocks, totals)]
-    parts = shares(wanted, resolution)
-    common = math.gcd(*parts)
-    parts, total = [p // common for p in parts], resolution // common
-    length = max(-(-n * total // p) for n, p in zip(blocks, parts, strict=True))
-    if length > 1 << 32:
-        raise ValueError(f"{length} slots need larger blocks or a weight nearer to its source's bytes")
+    while True:
+        blocks = [-(-t["bytes"] // block_bytes) for t in totals]
+        wanted = [float(n * block_bytes) ** power if weights is None else weights.get(t["source"], 0.0) for n, t in zip(blocks, totals)]
+        parts = shares(wanted, resolution)
+        common = math.gcd(*parts)
+        parts, total = [p // common for p in parts], resolution // common
+        length = max(-(-n * total // p) for n, p in zip(blocks, parts, strict=True))
+        if min(length, total) <= max_slots:
+            break
+        if max(blocks) == 1:
+            raise ValueError(f"a weight is so small that its source's one block needs {length} slots, more than {max_slots}")
+        block_bytes *= -(-length // max_slots)
     found = slots(parts, min(length, total))
     whole, rest = divmod(length, total)
     placed = [whole * p + int(np.searchsorted(own, rest)) if whole else len(own) for p, own in zip(parts, found, strict=True)]
@@ -120,14 +129,14 @@ def schedule(
     )
     plan = spark.createDataFrame(
         [(i, k // PART, own[k : k + PART].tolist()) for i, own in enumerate(found) for k in range(0, len(own), PART)],
-        "__index int, __part long, __slots array<long>",
+        "__index int, __part long, __slots array<int>",
     )
 
     order = F.xxhash64(F.col(id_col), F.lit("mix"))
     buckets = bucket_count(sum(t["rows"] for t in totals))
     rows = rows.withColumn("__order", order).withColumn("__bucket", F.pmod("__order", F.lit(buckets)).cast("int"))
     rows = ranked(rows, [source_col], "__bucket", [F.col("__order"), F.col(id_col), F.col("size")], "offset", F.col("size"))
-    # One row a source here, 8 bytes a slot below.
+    # One row a source here, MAX_SLOTS numbers at most below.
     rows = rows.join(F.broadcast(sources), F.col(source_col).eqNullSafe(F.col("__source")))
     rows = rows.withColumn("__first", F.floor(F.col("offset") / F.lit(block_bytes)).cast("long"))
     last = F.floor((F.col("__placed") - 1 - F.col("__first")) / F.col("__blocks")).cast("long")

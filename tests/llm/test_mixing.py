@@ -1,5 +1,6 @@
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -105,6 +106,36 @@ def test_a_long_mix_keeps_to_the_given_weights(weights):
         assert abs(len(own) - w / whole * length) < 1.01
 
 
+def test_ten_million_slots_of_hundreds_of_sources_keep_to_their_weights():
+    weights = [0.4, 0.25, 0.2, *[0.0002 + i * 1e-6 for i in range(300)]]
+    length, whole = 10_000_000, sum(weights)
+    found = slots(shares(weights, RESOLUTION), length)
+    assert sum(map(len, found)) == length
+    for w, own in zip(weights, found, strict=True):
+        k, share = np.arange(len(own)), w / whole
+        # Shares meet a weight to 1/2**31, which is 0.005 blocks here.
+        assert np.abs(k - share * own).max() < 1.01 and np.abs(k + 1 - share * (own + 1)).max() < 1.01
+
+
+@pytest.mark.parametrize("weights", [None, {"a": 0.61, "b": 0.39}])
+def test_blocks_grow_when_the_slots_would_be_too_many(spark, weights):
+    rows = [(i, "x" * 92, "en", "a" if i % 3 else "b") for i in range(900)]
+    out = run(spark, rows, weights=weights, block_bytes=100, max_slots=100)
+    assert max(r.position for r in out) < 100 and {r.doc_id for r in out} == set(range(900))
+    assert all(r.release <= r.position < r.deadline for r in out)
+    sizes = defaultdict(Counter)
+    for r in out:
+        sizes[r.source][r.position] += r.size
+    # One size of block, a multiple of the given one, for all sources.
+    assert len({max(c.values()) for c in sizes.values()}) == 1
+    assert not set(sizes["a"]) & set(sizes["b"])
+
+
+def test_a_weight_that_no_list_of_slots_can_meet(spark):
+    with pytest.raises(ValueError, match="one block"):
+        run(spark, [(1, "x", "en", "a"), (2, "y", "en", "b")], weights={"a": 1.0, "b": 1e-6}, max_slots=1000)
+
+
 def test_more_sources_than_a_thousand_and_a_hot_one(spark):
     rows = [(i, "x" * 92, "en", "hot") for i in range(6000)] + [(6000 + i, "x" * 92, "en", f"s{i:04}") for i in range(1100)]
     out = run(spark, rows, block_bytes=100, power=1.0)
