@@ -8,7 +8,7 @@ identical-payload-digest) for payloads of at least ``REVISIT_BYTES`` that an ear
 * ``headers``: (header), the exact bytes of every record up to its payload: WARC header, empty line, HTTP header, empty line.
 
 ``read_archive`` parses the header bytes and joins them with the payloads by digest, after checking each stored payload's
-digest and length once. ``export_warc`` writes the records as plain WARC files, ``read_warc`` reads such files.
+digest once; a header without a stored payload is an error. ``export_warc`` writes the records as plain WARC files, ``read_warc`` reads such files.
 
 Of equal payloads the record with the smallest page_id is the response, the others refer to it. Defined results: a missing html is
 an empty payload; a missing page_id is larger than any other and written as an empty one; of rows that repeat both
@@ -21,7 +21,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marketloom.session import durable, scratch_path
@@ -76,14 +76,16 @@ def write_archive(pages: DataFrame, path: str, revisit_bytes: int = REVISIT_BYTE
     if not stored.groupBy("digest").count().where("count > 1").isEmpty():
         raise ValueError("two payloads have one digest")
 
-    narrow = durable(rows.select("page_id", "url", "digest", F.octet_length("payload").cast("long").alias("bytes")), "records")
-    shared = narrow.where(F.col("bytes") >= revisit_bytes).groupBy("digest")
-    shared = shared.agg(F.min("page_id").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
-    joined = narrow.join(shared.withColumn("shared", F.lit(True)), "digest", "left")
-    # Copies of one page row: the first of them is the response.
-    copy = F.row_number().over(Window.partitionBy("digest", "page_id").orderBy("url"))
-    response = F.col("shared").isNull() | (F.col("page_id").eqNullSafe(F.col("first")) & (F.col("copy") == 1))
-    typed = joined.withColumn("copy", copy).withColumn("type", F.when(response, "response").otherwise("revisit"))
+    narrow = rows.select("page_id", "url", "digest", F.octet_length("payload").cast("long").alias("bytes"))
+    # Stored numbers tell rows apart that repeat a page.
+    narrow = durable(narrow.withColumn("row", F.monotonically_increasing_id()), "records")
+    least = F.min(F.struct(F.col("page_id").isNull().alias("missing"), "page_id", "url", "row")).alias("least")
+    shared = narrow.where(F.col("bytes") >= revisit_bytes).groupBy("digest").agg(least, F.count(F.lit(1)).alias("n")).where("n > 1")
+    # Stored, so that each side of the join has an exchange of its own and AQE can split a payload that very many pages have.
+    shared = durable(shared.select("digest", F.col("least.page_id").alias("first"), F.col("least.row").alias("first_row")), "shared")
+    joined = narrow.join(shared, "digest", "left")
+    response = F.col("first_row").isNull() | (F.col("row") == F.col("first_row"))
+    typed = joined.withColumn("type", F.when(response, "response").otherwise("revisit"))
     typed.select(_header(date).alias("header")).write.parquet(f"{path}/headers")
 
 
@@ -95,7 +97,7 @@ def _parsed(header: Column, name: str) -> Column:
 def read_archive(spark: SparkSession, path: str) -> DataFrame:
     """(page_id, url, record_type, refers_to, payload_digest, payload_bytes, header, payload): every record's page, whole.
 
-    Payloads are checked and measured once each, before the join; a reader that selects no payload moves none.
+    Payloads are checked once each, before the join; the bytes are counted in the payload of the rebuilt record.
     """
     headers, payloads = spark.read.parquet(f"{path}/headers"), spark.read.parquet(f"{path}/payloads")
     header = F.col("header")
@@ -113,10 +115,13 @@ def read_archive(spark: SparkSession, path: str) -> DataFrame:
     good = F.sha2("payload", 256) == found
     checked = payloads.select(
         F.when(good, found).otherwise(F.raise_error(F.concat(F.lit("damaged payload "), found))).alias("payload_digest"),
-        F.octet_length("payload").cast("long").alias("payload_bytes"),
         "payload",
     )
-    return records.join(checked, "payload_digest", "left")
+    joined = records.join(checked, "payload_digest", "left")
+    lost = F.raise_error(F.concat(F.lit("no payload for "), F.col("payload_digest")))
+    rebuilt = joined.withColumn("payload", F.coalesce(F.col("payload"), lost.cast("binary")))
+    columns = ["page_id", "url", "record_type", "refers_to", "payload_digest"]
+    return rebuilt.select(*columns, F.octet_length("payload").cast("long").alias("payload_bytes"), "header", "payload")
 
 
 def record_bytes() -> Column:

@@ -84,5 +84,23 @@ def test_damage_is_noticed(spark):
         read_archive(spark, f"{folder}/b").collect()
 
 
+def test_a_lost_payload_is_an_error(spark):
+    folder = tempfile.mkdtemp(prefix="marketloom-test-")
+    write_archive(pages_of(spark, ROWS), f"{folder}/a")
+    spark.read.parquet(f"{folder}/a/payloads").where(F.octet_length("payload") != 5).write.parquet(f"{folder}/b/payloads")
+    spark.read.parquet(f"{folder}/a/headers").write.parquet(f"{folder}/b/headers")
+    with pytest.raises(Exception, match="no payload for"):
+        read_archive(spark, f"{folder}/b").collect()
+
+
+def test_records_of_one_payload_meet_in_no_window(spark):
+    path = tempfile.mkdtemp(prefix="marketloom-test-") + "/archive"
+    rows = [(i, f"http://a/{i}", BIG) for i in range(3000)] + [(3000 + i, None, f"{i}" * 200) for i in range(300)]
+    write_archive(pages_of(spark, rows), path)
+    out = read_archive(spark, path)
+    assert found(out) == plain(rows)
+    assert "Window" not in out._jdf.queryExecution().toString()
+
+
 def test_empty(spark):
     assert archived(pages_of(spark, [])).collect() == []
