@@ -3,10 +3,11 @@
 1. Texts are normalised. One narrow pass stores (identifier, digest) and finds the few texts with very many copies.
 2. The rows are range-partitioned by the normalised bytes: Spark samples splitters over (first characters, hash, salt), so
    that a splitter stays short however long the texts are. Only texts with many copies get more than one salt, which
-   spreads their copies over several ranges.
+   spreads their copies over several ranges, by row and not by identifier: copies without one are spread like any others.
 3. An external sort by (first characters, hash, salt, whole text) puts equal texts next to each other, and a streaming
    aggregate compares each whole text with its neighbour's and keeps the smallest identifier and the count of each run.
-4. The runs of one text (more than one only if it was salted) are put together, and narrow rows look their run up.
+4. The runs of one text (more than one only if it was salted) are put together, and narrow rows, salted in their turn, look their
+   run up. Of the rows that hold the smallest identifier of a salted text one with the smallest salt stays.
 
 Defined results: a missing text counts as empty; all empty texts are one group; a missing identifier is larger than any
 other; of rows that repeat both identifier and text, one stays and the rest go; an empty table gives no rows. Other
@@ -36,21 +37,21 @@ def hot_keys(keys: DataFrame, key: str, hot_rows: int = HOT_ROWS) -> DataFrame:
     )
 
 
-def salted(df: DataFrame, hot: DataFrame, key: str, spread_by: str) -> DataFrame:
-    """Adds ``__salts`` (1 but for hot keys) and ``__salt`` from 0."""
+def salted(df: DataFrame, hot: DataFrame, key: str, row: str) -> DataFrame:
+    """Adds ``__salts`` (1 but for hot keys) and ``__salt`` from 0, by the number of the row."""
     joined = df.join(F.broadcast(hot), key, "left").withColumn("__salts", F.coalesce("__salts", F.lit(1)))
-    return joined.withColumn("__salt", F.pmod(F.xxhash64(spread_by), "__salts").cast("int"))
+    return joined.withColumn("__salt", F.pmod(F.xxhash64(row), "__salts").cast("int"))
 
 
 def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per input row: the identifier, ``keep_id``, ``group_size``, ``kept``, ``text_sha256`` of the normalised text."""
     rows = docs.select(F.col(id_col).alias("__id"), single_spaced(F.col(text_col)).alias("__text"))
-    rows = rows.withColumn("__hash", F.xxhash64("__text"))
-    narrow = durable(rows.select("__id", "__hash", F.unhex(F.sha2("__text", 256)).alias("__sha")), "digests")
+    rows = rows.withColumn("__hash", F.xxhash64("__text")).withColumn("__row", F.monotonically_increasing_id())
+    narrow = durable(rows.select("__id", "__row", "__hash", F.unhex(F.sha2("__text", 256)).alias("__sha")), "digests")
     hot = hot_keys(narrow, "__hash")
 
     ranges = ["__prefix", "__hash", "__salt"]
-    keyed = salted(rows.withColumn("__prefix", F.substring("__text", 1, PREFIX)), hot, "__hash", "__id")
+    keyed = salted(rows.withColumn("__prefix", F.substring("__text", 1, PREFIX)), hot, "__hash", "__row")
     runs = (
         keyed.repartitionByRange(*ranges)
         .sortWithinPartitions(*ranges, "__text", "__id")
@@ -77,7 +78,12 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
         "group_size",
         F.explode(F.sequence(F.lit(0), F.col("__salts") - 1)).alias("__salt"),
     )
-    copies = salted(narrow, hot, "__hash", "__id").groupBy("__id", "__sha", "__salt").agg(F.count(F.lit(1)).cast("int").alias("__copies"))
+    spread = salted(narrow, hot, "__hash", "__row")
+    copies = spread.groupBy("__id", "__sha", "__salt").agg(F.count(F.lit(1)).cast("int").alias("__copies"))
+    # Rows that repeat the identifier that stays may have several salts.
+    least = F.min(F.struct(F.col("__id").isNull(), "__id", "__salt")).alias("__least")
+    first = spread.where("__salts > 1").groupBy("__sha").agg(least).select("__sha", F.col("__least.__salt").alias("__first"))
+    groups = groups.join(first, "__sha", "left").withColumn("__first", F.coalesce("__first", F.lit(0)))
     found = copies.join(groups, ["__sha", "__salt"])
     return (
         found.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies"))))
@@ -85,7 +91,7 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
             F.col("__id").alias(id_col),
             "keep_id",
             "group_size",
-            (F.col("__id").eqNullSafe(F.col("keep_id")) & (F.col("__copy") == 1)).alias("kept"),
+            (F.col("__id").eqNullSafe(F.col("keep_id")) & (F.col("__salt") == F.col("__first")) & (F.col("__copy") == 1)).alias("kept"),
             F.lower(F.hex("__sha")).alias("text_sha256"),
         )
     )

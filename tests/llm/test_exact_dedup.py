@@ -3,6 +3,7 @@ import re
 from collections import defaultdict
 
 import pytest
+from pyspark.sql import functions as F
 
 from marketloom.llm import exact_dedup
 from marketloom.llm.exact_dedup import exact_duplicates
@@ -44,6 +45,19 @@ def test_hot_groups_give_the_same(spark, monkeypatch, hot):
     assert found(exact_duplicates(docs_of(spark, rows))) == plain(rows)
 
 
+def test_copies_without_identifiers_or_with_one_are_spread(spark, monkeypatch):
+    monkeypatch.setattr(exact_dedup.hot_keys, "__defaults__", (50,))
+    rows = [(None, "same") for _ in range(600)] + [(7, "same") for _ in range(300)] + [(8, "same"), (9, "own")]
+    df = docs_of(spark, rows)
+    assert found(exact_duplicates(df)) == plain(rows)
+    none = [(None, "same") for _ in range(400)]
+    assert found(exact_duplicates(docs_of(spark, none))) == plain(none)
+    keyed = df.select("doc_id", F.xxhash64("text").alias("h")).withColumn("row", F.monotonically_increasing_id())
+    hot = exact_dedup.hot_keys(keyed, "h")
+    salts = exact_dedup.salted(keyed.where("doc_id is null"), hot, "h", "row").groupBy("__salt").count().collect()
+    assert len(salts) == 19 and max(r["count"] for r in salts) <= 3 * 600 / 19
+
+
 def test_texts_that_share_a_long_start(spark):
     rows = [(i, "x" * 5000 + str(i % 4)) for i in range(20)]
     assert found(exact_duplicates(docs_of(spark, rows))) == plain(rows)
