@@ -112,6 +112,22 @@ def test_quality_edges(spark):
     assert none.select(quality.quality_scores(none, model)).collect() == []
 
 
+def test_a_labelled_identifier_that_repeats_is_learned_from_once(spark, monkeypatch):
+    good, bad = "Plain words in a calm sentence number {}.", "BUY!! NOW!! {} $$$ ### %%%"
+    docs = docs_of(spark, [(i, (good if i % 2 else bad).format(i) * 5) for i in range(60)])
+    labels = spark.createDataFrame([(i, i % 2) for i in range(60)], "doc_id long, quality int")
+    hot = docs.where("doc_id = 3").crossJoin(spark.range(20_000)).drop("id")
+    hot_docs, hot_labels = docs.unionByName(hot.select(*[c for c in docs.columns if c != "id"]).withColumn("id", F.lit(0).cast("long"))), labels.union(
+        labels.where("doc_id = 4").crossJoin(spark.range(100_000)).drop("id")
+    )
+    seen = []
+    learn = quality.bradley_terry
+    monkeypatch.setattr(quality, "bradley_terry", lambda a, b: seen.append((len(a), len(b))) or learn(a, b))
+    once, many = quality.fit(docs, labels), quality.fit(hot_docs, hot_labels)
+    assert seen == [(30, 30)] * 2
+    assert (once.weights == many.weights).all() and once.cut == many.cut
+
+
 def test_number_characters_are_no_letters(spark):
     texts = ["²", "½ ①", "Ⅷ", "_ 12 %", "́", "ß", "語", "ʰ"]
     assert [language_id.has_letter(t) for t in texts] == [False] * 5 + [True] * 3
