@@ -7,8 +7,9 @@ a key are never written out as pairs; a key is a node between its documents, and
    a key with very many documents, the same chunk) have the same neighbours and always move together: they are one unit.
 2. In each round a key looks at how many of its documents each shard holds and names the fullest one that has room. Units
    elsewhere ask to move there if it holds more of their neighbours than their own shard does (ties go by a hash, so that two
-   documents don't keep swapping). A shard admits requests in a hashed order while its quota lasts. Nothing else moves, so
-   the number of linked pairs that are cut never grows, and the rounds end when no request is admitted.
+   documents don't keep swapping). A shard admits requests in a hashed order while its quota lasts; nothing else moves. The
+   rounds end when no request is admitted, or when STALL rounds in a row have not raised the number of linked pairs that share a shard;
+   the placement with the most is kept. That number only grows between these, so the rounds end by themselves.
 3. Documents without links have no preference. They fill what the quotas leave.
 
 The law is ``rows``: the quota of a shard is its exact number of rows, so sizes differ by one at most, whatever the groups
@@ -21,6 +22,7 @@ columns of the input are not read.
 
 from __future__ import annotations
 
+import itertools
 import math
 
 from pyspark.sql import Column, DataFrame, Window
@@ -30,7 +32,8 @@ from marketloom.llm.common import bucket_count, ranked
 from marketloom.session import durable
 
 SHARDS = 24
-ROUNDS, SLACK = 12, 0.05
+#: Rounds without a gain that end the propagation.
+STALL, SLACK = 3, 0.05
 BUCKETS = 512
 #: The documents of a key that move together at most (about).
 CHUNK_ROWS = 1_000
@@ -78,8 +81,8 @@ def _grants(asked: list[tuple[int, int, int]], room: list[int]) -> list[tuple[in
             return [(a, b, n) for (a, b), n in given.items() if n]
 
 
-def propagate(units: DataFrame, quotas: list[int], rounds: int = ROUNDS) -> DataFrame:
-    """``units`` (key, chunk, origin, n) with the column ``shard``; -1 is no shard yet.
+def propagate(units: DataFrame, quotas: list[int], rounds: int | None = None) -> DataFrame:
+    """``units`` (key, chunk, origin, n) with the column ``shard``; -1 is no shard yet. ``rounds`` may end it earlier.
 
     A shard may hold SLACK more than its quota meanwhile, which keeps moves possible when nearly everything is linked; what is
     above the quota in the end is dealt out with the documents that have no links.
@@ -87,8 +90,8 @@ def propagate(units: DataFrame, quotas: list[int], rounds: int = ROUNDS) -> Data
     shards = F.array(*[F.lit(i) for i in range(len(quotas))])
     # The first placement may exceed a quota only if nearly everything is linked: such units wait.
     state = _admit(units.withColumn("shard", F.lit(-1)).withColumn("target", F.col("origin")), quotas)
-    swaps = False
-    for number in range(rounds):
+    swaps, best_state, most, stalled = False, state, _together(state), 0
+    for number in itertools.count() if rounds is None else range(rounds):
         held = {r["shard"]: r["n"] for r in state.groupBy("shard").agg(F.sum("n").alias("n")).collect()}  # a row a shard
         room = [max(0, math.ceil(q * (1 + SLACK)) - held.get(i, 0)) for i, q in enumerate(quotas)]
         votes = state.groupBy("key", "shard").agg(F.sum("n").alias("votes"))
@@ -110,8 +113,19 @@ def propagate(units: DataFrame, quotas: list[int], rounds: int = ROUNDS) -> Data
         idle = state.where("moved").isEmpty()
         if idle and (swaps or len(open_shards) == len(quotas)):
             break
-        swaps = idle
-    return state
+        swaps, together = idle, _together(state)
+        stalled += 1
+        if together > most:
+            best_state, most, stalled = state, together, 0
+        elif stalled == STALL:
+            break
+    return best_state
+
+
+def _together(state: DataFrame) -> int:
+    """Ordered pairs of linked documents (each with itself too) that share a shard."""
+    held = state.where("shard >= 0").groupBy("key", "shard").agg(F.sum("n").cast("decimal(19,0)").alias("n"))
+    return int(held.agg(F.sum(F.col("n") * F.col("n")).alias("n")).first()["n"] or 0)
 
 
 def _admit(asked: DataFrame, room: list[int]) -> DataFrame:
@@ -136,7 +150,7 @@ def _admit(asked: DataFrame, room: list[int]) -> DataFrame:
     return durable(settled.select(columns).unionByName(stay.select(columns)), "units")
 
 
-def shard_documents(rows: DataFrame, shards: int = SHARDS, rounds: int = ROUNDS) -> DataFrame:
+def shard_documents(rows: DataFrame, shards: int = SHARDS, rounds: int | None = None) -> DataFrame:
     """``rows`` (id, size, text_crc32, key) with ``law``, ``shard`` and ``slot`` (gapless from 0 within a shard)."""
     rows = durable(rows.withColumn("row", F.monotonically_increasing_id()), "rows")  # numbers are stored, so they stay
     total = rows.count()

@@ -65,6 +65,13 @@ def test_rounds_cut_less_even_when_everything_is_linked(spark):
     assert cuts[0] > cuts[1] > cuts[2] and cuts[2] < cuts[0] / 2
 
 
+def test_rounds_end_by_themselves_and_keep_the_best(spark):
+    rows = docs_of(spark, [(i, f"text {i % 40}") for i in range(400)])
+    rows = documents_by_text(rows)
+    early, late = (cut_links(shard_documents(rows, 6, rounds)).first()["cut"] for rounds in (12, None))
+    assert late <= early
+
+
 def test_rows_survive_with_clashing_columns(spark):
     df = docs_of(spark, edge_rows()).withColumn("shard", F.lit("x")).withColumn("law", F.lit(1))
     assert shard_documents(documents_by_text(df)).count() == len(edge_rows())
