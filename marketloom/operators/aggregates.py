@@ -156,7 +156,11 @@ def _view_measures() -> list[Column]:
 def daily_view(df: DataFrame, date: str = DATE) -> DataFrame:
     """Sales per calendar day between the first and the last date; days without sales have sums and counts 0."""
     day = F.to_date(date).alias("date")
-    daily = durable(df.where(F.col(date).isNotNull()).groupBy(day).agg(*_view_measures()), "daily")
+    return dense_days(durable(df.where(F.col(date).isNotNull()).groupBy(day).agg(*_view_measures()), "daily"))
+
+
+def dense_days(daily: DataFrame) -> DataFrame:
+    """A row for every calendar day between the first and the last ``date``; sums and counts of added days are 0."""
     calendar_days = daily.agg(F.min("date").alias("a"), F.max("date").alias("b")).where(F.col("a").isNotNull())
     days = calendar_days.select(F.explode(F.sequence("a", "b", F.expr("interval 1 day"))).alias("date"))
     zeros = {"total_sales": 0.0, "transaction_count": 0, "total_quantity": 0.0, "unique_customers": 0}

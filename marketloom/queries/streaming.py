@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from marketloom.queries.fixtures import money, table
+from marketloom.queries.aggregates import ORACLES as AGGREGATES
+from marketloom.queries.fixtures import money, sales, table
 from marketloom.session import scratch_path
-from marketloom.streaming import jobs
+from marketloom.sources import snapshots
+from marketloom.streaming import jobs, views
 
 
 def _events(s, d):
@@ -38,7 +40,40 @@ def _copies(stream):
     return stream.withColumn("copy", F.explode(twice)).drop("copy")
 
 
+PARTS = 3
+
+
+def _refreshed(s, d):
+    """Cells of the sales that arrive in three parts, days and customers across all of them; the second part's batch runs twice, and old
+    batches are added up before the last."""
+    needed = ["invoice_date", "category", "customer_id", "total_amount", "quantity"]
+    arrived = scratch_path(s, "arrived")
+    rows = sales(s, d).select(*needed, F.pmod(F.xxhash64("l_orderkey"), F.lit(PARTS)).alias("part"))
+    rows.write.partitionBy("part").parquet(arrived)
+    target, progress = scratch_path(s, "cells"), scratch_path(s, "cells-progress")
+    folder = scratch_path(s, "sales")
+    schema = rows.drop("part").schema
+    for part in range(PARTS):
+        s.read.schema(schema).parquet(f"{arrived}/part={part}").write.mode("append").parquet(folder)
+        query = views.refresh(jobs.read_folder(s, folder, schema), target, progress)
+        query.awaitTermination()
+        if query.exception():
+            raise query.exception()
+        if part == 1:
+            again = s.read.schema(schema).parquet(f"{arrived}/part={part}")
+            views.absorb(again, snapshots.open_version(s, target).counts[snapshots.BATCH], target)
+            views.compact(s, target)
+    return target
+
+
+def _view(name):
+    return lambda s, d: views.read_view(s, _refreshed(s, d), name)
+
+
 QUERIES = {
+    "stream_daily_view": _view("daily"),
+    "stream_category_view": _view("category"),
+    "stream_customer_view": _view("customer"),
     "stream_ingest": lambda s, d: _run(_events(s, d), s, "ingested"),
     "stream_kpis": _kpis,
     "stream_final_kpis": lambda s, d: _run(jobs.windowed_kpis(_events(s, d), "ts", "value"), s, "kpis"),
@@ -50,6 +85,9 @@ _KPIS = f"""SELECT window_start, window_start + INTERVAL 1 DAY AS window_end, to
     {money('value')} AS total_sales, count(*) AS transaction_count FROM events GROUP BY 1) {{}}"""
 
 ORACLES = {
+    "stream_daily_view": AGGREGATES["agg_daily_sales"],
+    "stream_category_view": AGGREGATES["agg_category_sales"],
+    "stream_customer_view": AGGREGATES["agg_customer_summary"],
     "stream_ingest": "SELECT * FROM events",
     "stream_kpis": _KPIS.format(""),
     # Windows that end after the watermark, one day behind the last event, are still open.

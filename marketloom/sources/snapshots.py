@@ -31,6 +31,8 @@ from marketloom.sources.tables import Condition, matches
 
 RETRIES = 5
 COUNTS = ["matched", "changed", "added", "deleted"]
+#: The last batch of a stream that a version holds; every later version carries it on.
+BATCH = "batch"
 _FILE = "__file"
 
 
@@ -213,6 +215,7 @@ def _change(spark: SparkSession, path: str, operation: str, attempt: Callable[[V
     for n in range(RETRIES + 1):
         base = open_version(spark, path)
         folders, counts = attempt(base)
+        counts = {k: v for k, v in base.counts.items() if k == BATCH} | counts
         if folders == base.folders:
             return Version(base.path, base.number, base.schema, base.folders, operation, {c: 0 for c in COUNTS} | counts)
         try:
@@ -258,6 +261,41 @@ def append_snapshot(df: DataFrame, path: str) -> Version:
     return _change(spark, path, "append", attempt)
 
 
+def append_batch(df: DataFrame, path: str, number: int) -> Version:
+    """Add the rows of a stream's micro-batch, once: a batch that the table already holds (it runs again after a failure) adds nothing.
+
+    One stream per table, whose batches come in order of their numbers. A missing table is made.
+    """
+    spark = df.sparkSession
+    path = path.rstrip("/")
+    if not versions(spark, path):
+        try:
+            create_snapshot(df.limit(0), path)
+        except Conflict:
+            pass  # another writer has made it
+
+    def attempt(base: Version) -> tuple[dict, dict]:
+        if base.counts.get(BATCH, -1) >= number:
+            return base.folders, {}
+        rows = df.select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in base.schema.fields])
+        folder, counts = _write_data(rows, path, {"added": F.lit(True)})
+        return {**base.folders, folder: None}, {**counts, BATCH: number}
+
+    return _change(spark, path, "append", attempt)
+
+
+def rewrite_snapshot(spark: SparkSession, path: str, job: Callable[[DataFrame], DataFrame]) -> Version:
+    """Replace all rows by what ``job`` makes of them, in the same columns; rows that another writer adds meanwhile are not lost (it starts again)."""
+    path = path.rstrip("/")
+
+    def attempt(base: Version) -> tuple[dict, dict]:
+        rows = job(read_version(spark, base)).select(*[f"`{f.name}`" for f in base.schema.fields])
+        folder, _ = _write_data(rows, path, {"added": F.lit(True)})
+        return {folder: None}, {}
+
+    return _change(spark, path, "rewrite", attempt)
+
+
 def update_snapshot(
     spark: SparkSession, path: str, where: Condition, values: dict[str, object], upsert: bool = False
 ) -> Version:
