@@ -11,57 +11,25 @@ from marketloom.plans import models
 from marketloom.plans.transform import transform_sales
 from marketloom.queries.fixtures import KEYS, ORDER, mean, money, on_sales, sales, significant, significant_sql
 from marketloom.schema import TARGET
-from marketloom.session import durable, scratch_path
+from marketloom.session import durable
 
-_stored: dict[tuple[str, str, str], str] = {}
-
-
-def _table(s, d, label, make):
-    """A table that several model queries read, stored once per application, as the jobs before would have left it."""
-    key = (s.sparkContext.applicationId, d, label)
-    if key not in _stored:
-        path = scratch_path(s, label)
-        make().write.parquet(path)
-        _stored[key] = path
-    return s.read.parquet(_stored[key])
+#: Shallower trees than the default keep the forest queries short.
+DEPTH = 10
 
 
 def _transformed(s, d):
-    return _table(s, d, "transformed", lambda: transform_sales(durable(sales(s, d), "sales"), ORDER))
-
-
-def _prepared(s, d):
-    """The filled feature table and its features."""
-    def make():
-        return models.prepare(_transformed(s, d), KEYS)[0]
-
-    table = _table(s, d, "prepared", make)
-    constant = {r["column"] for r in m.constant_features(table, m.feature_columns(table, exclude=KEYS)).collect()}
-    return table, [c for c in m.feature_columns(table, exclude=KEYS) if c not in constant]
-
-
-_trained: dict[tuple, object] = {}
-
-
-def _fit(s, d):
-    """Training as in the library, but a model that a query before has trained is used again."""
+    return durable(transform_sales(durable(sales(s, d), "sales"), ORDER), "transformed")
 
-    def fit(kind, train, features):
-        key = (s.sparkContext.applicationId, d, kind, tuple(features))
-        if key not in _trained:
-            # Shallower trees than the default keep the queries short.
-            settings = {"maxDepth": 10} if kind == "forest" else {}
-            _trained[key] = m.fit(kind, train, features, **settings)
-        return _trained[key]
 
-    return fit
+def _fit(kind, train, features):
+    return m.fit(kind, train, features, **({"maxDepth": DEPTH} if kind == "forest" else {}))
 
 
 def _model(s, d, kind):
-    df, features = _prepared(s, d)
+    df, features = models.prepare(_transformed(s, d), KEYS)
     train, test = m.split(df, KEYS)
     kept, _ = m.clean_features(train, features)
-    model = _fit(s, d)(kind, train, kept)
+    model = _fit(kind, train, kept)
     return model, m.predict(model, test, kept), kept
 
 
@@ -119,9 +87,9 @@ def _metrics(s, d):
 
 
 def _comparison(s, d):
-    df, features = _prepared(s, d)
+    df, features = models.prepare(_transformed(s, d), KEYS)
     plan = [("original", "linear"), ("original", "forest"), ("clean", "linear"), ("clean", "forest"), ("clean", "boosting")]
-    return models.compare_models(df, KEYS, features, plan, _fit(s, d))
+    return models.compare_models(df, KEYS, features, plan, _fit)
 
 
 def _ranges(s, d):
