@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
+import datetime as dt
 import uuid
+from functools import reduce
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marketloom.functions import amounts
 from marketloom.queries.fixtures import KEYS, money, on_raw, on_sales, raw_sales, sales, table
 from marketloom.schema import RAW_SALES
-from marketloom.session import scratch_path
-from marketloom.sources import excel, files, snapshots, tables
+from marketloom.session import durable, scratch_path
+from marketloom.sources import clustered, excel, files, snapshots, tables
 
 RAW = RAW_SALES.names
 _RAW = ", ".join(RAW)
@@ -162,6 +165,30 @@ def _layout_pruned_read(s, d):
     return tables.read_table(s, path, where={"year": 1997, "month": 3}, exclude=["year", "month"])
 
 
+#: One filter on each of the columns that the table is clustered by.
+CLUSTERED = {
+    "invoice_date": (dt.datetime(1996, 5, 1), dt.datetime(1996, 5, 20)),
+    "customer_id": "C101",
+    "category": "MEDIUM",
+    "shopping_mall": "NATION_7",
+}
+CLUSTER_FILES = 256
+
+
+def _layout_clustered(s, d):
+    """Rows of a filter on each column alone, and whether it scanned less than a third of the files."""
+    path = scratch_path(s, "clustered")
+    table = sales(s, d).select(*KEYS, *CLUSTERED, "total_amount")
+    clustered.write_clustered(durable(table, "sales"), path, list(CLUSTERED), CLUSTER_FILES, bloom={"customer_id": 10_000})
+    whole = len(s.read.parquet(f"{path}/data").inputFiles())
+    parts = []
+    for column, wanted in CLUSTERED.items():
+        found = clustered.read_clustered(s, path, {column: wanted}, [*KEYS, "total_amount"])
+        few = int(3 * len(clustered.candidate_files(s, path, {column: wanted})) < whole)
+        parts.append(found.select(F.lit(column).alias("filter"), "*", F.lit(few).alias("few_files")))
+    return reduce(DataFrame.unionByName, parts)
+
+
 def _retention(s, d):
     return tables.retention_prune(sales(s, d).select(*KEYS, "invoice_date", "total_amount"), "invoice_date", 24)
 
@@ -221,6 +248,7 @@ QUERIES = {
     "drop_table": _drop_table,
     "layout_pruned_read": _layout_pruned_read,
     "layout_bucketed_read": _bucketed,
+    "layout_clustered_read": _layout_clustered,
     "retention_prune": _retention,
 }
 
@@ -277,6 +305,13 @@ ORACLES = {
     "drop_table": on_sales("SELECT count(*) AS rows, count(*) AS rows_before, 1 AS existed, 1 AS gone FROM sales"),
     "layout_pruned_read": on_sales(f"""SELECT {', '.join(KEYS)}, customer_id, total_amount, invoice_date FROM sales
         WHERE year(invoice_date) = 1997 AND month(invoice_date) = 3"""),
+    "layout_clustered_read": on_sales("").rstrip()
+    + " "
+    + " UNION ALL ".join(
+        f"SELECT '{c}' AS filter, {', '.join(KEYS)}, total_amount, 1 AS few_files FROM sales WHERE "
+        + (f"{c} BETWEEN '{w[0]}' AND '{w[1]}'" if isinstance(w, tuple) else f"{c} = '{w}'")
+        for c, w in CLUSTERED.items()
+    ),
     "layout_bucketed_read": on_sales(
         f"SELECT customer_id, {money('total_amount')} AS total_sales FROM sales GROUP BY customer_id"
     ),
