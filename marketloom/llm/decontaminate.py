@@ -122,7 +122,9 @@ def contamination(
         "scanned",
     )
 
+    # Stored, so that its size decides whether the texts are shuffled to look it up.
     suspects = scanned.where("found = 1").select(F.col("doc").alias("__doc"), F.col("text_hash").alias("__hash")).distinct()
+    suspects = durable(suspects, "suspects")
     same = F.col("doc").eqNullSafe(F.col("__doc")) & (F.col("text_hash") == F.col("__hash"))
     again = rows.join(suspects, same, "left_semi")
     again = again.withColumn("words", words(F.col("text"))).withColumn("n", F.size("words"))
