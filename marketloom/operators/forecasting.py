@@ -1,7 +1,8 @@
 """Forecasts on daily series.
 
 A daily series has one row per day (and group) whatever the number of transactions behind it, so ordinary windows per
-group are safe here; everything before it is a partial aggregation over the transactions.
+group are safe here; everything before it is a partial aggregation over the transactions. Operators that read a series more
+than once store it first, so that the transactions are added up once.
 """
 
 from __future__ import annotations
@@ -20,6 +21,7 @@ from pyspark.sql import types as T
 
 from marketloom.functions import amounts, calendar
 from marketloom.operators.modelling import FEATURES, PREDICTION, assemble
+from marketloom.session import durable
 
 TRAIN_SHARE = 0.8
 CALENDAR = ["day_of_year", "month", "day_of_week", "quarter"]
@@ -61,7 +63,7 @@ def calendar_model(series: DataFrame, with_year: bool = True, degree: int = 2, r
     """
     names = [*CALENDAR, *(["year"] if with_year else [])]
     parts = calendar.date_parts("date")
-    rows = chrono_split(series).withColumns({n: parts[n].cast("double") for n in names})
+    rows = chrono_split(durable(series, "series")).withColumns({n: parts[n].cast("double") for n in names})
     expanded = PolynomialExpansion(degree=degree, inputCol=FEATURES, outputCol="terms").transform(assemble(rows, names))
     linear = LinearRegression(featuresCol="terms", labelCol="sales", predictionCol=PREDICTION, regParam=reg, solver="normal")
     model = linear.fit(expanded.where("is_train = 1"))
@@ -117,7 +119,7 @@ def seasonal_forecast(
     groups = list(groups)
     along = Window.partitionBy(*groups)
     first, last = F.min("date").over(along), F.max(F.when(F.col("is_train") == 1, F.col("date"))).over(along)
-    rows = chrono_split(series, share, groups)
+    rows = chrono_split(series if groups else durable(series, "series"), share, groups)
     rows = rows.withColumn("position", F.datediff("date", first) / F.greatest(F.datediff(last, first), F.lit(1)))
     rows = rows.withColumn("terms", F.array(*_seasonal_terms("position")))
     knots = np.linspace(0, 0.8, CHANGEPOINTS + 2)[1:-1]
@@ -188,7 +190,7 @@ def _seasonal_single(rows: DataFrame, knots: np.ndarray, multiplicative: bool, r
 
 def mean_forecast(series: DataFrame, share: float = TRAIN_SHARE) -> DataFrame:
     """The mean of the first days for every day: what any other forecast should beat."""
-    rows = chrono_split(series, share)
+    rows = chrono_split(durable(series, "series"), share)
     mean = rows.where("is_train = 1").agg(F.avg("sales").alias(PREDICTION))
     return rows.join(mean, F.lit(True)).select("date", "sales", "is_train", PREDICTION)  # one row
 
@@ -196,7 +198,7 @@ def mean_forecast(series: DataFrame, share: float = TRAIN_SHARE) -> DataFrame:
 def ar_forecast(series: DataFrame, lags: int = 7, share: float = TRAIN_SHARE) -> DataFrame:
     """One-day-ahead forecast from the last ``lags`` daily changes."""
     along = Window.partitionBy().orderBy("date")
-    rows = chrono_split(series, share).withColumn("__change", F.col("sales") - F.lag("sales").over(along))
+    rows = chrono_split(durable(series, "series"), share).withColumn("__change", F.col("sales") - F.lag("sales").over(along))
     names = [f"__change_{k}" for k in range(1, lags + 1)]
     rows = rows.withColumns({n: F.lag("__change", k).over(along) for k, n in enumerate(names, 1)})
     rows = rows.withColumn("__before", F.lag("sales").over(along)).dropna(subset=names)
@@ -219,7 +221,7 @@ def seasonal_decompose(series: DataFrame, period: int = 7, groups: Sequence[str]
     along = Window.partitionBy(*groups).orderBy("date")
     around = along.rowsBetween(-half, half)
     full = F.count("sales").over(around) == period
-    rows = series.withColumn("trend", F.when(full, amounts.mean("sales", around)))
+    rows = durable(series, "series").withColumn("trend", F.when(full, amounts.mean("sales", around)))
     rows = rows.withColumn("place", F.pmod(F.row_number().over(along) - 1, F.lit(period)).cast("int"))
     rows = rows.withColumn("__left", F.col("sales") - F.col("trend"))
     place = Window.partitionBy(*groups, "place")
