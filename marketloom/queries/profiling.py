@@ -32,7 +32,9 @@ def _describe(s, d):
 
 def _report(s, d):
     raw = durable(raw_sales(s, d).select(*KEYS, *WITH_GAPS), "raw")
-    after = c.handle_missing(c.remove_duplicates(raw), "auto", numeric=["age", "price"])
+    # Stored: the statistics, the row count and the missing counts would each merge the copies again.
+    unique = durable(c.remove_duplicates(raw), "deduplicated")
+    after = c.handle_missing(unique, "auto", numeric=["age", "price"])
     return p.cleaning_report(raw, after, c.outlier_report(raw, ["age", "price"]))
 
 
