@@ -3,12 +3,21 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from marketloom.session import durable
 
+_NULL_SPREAD = 4096
+
+
+def _spread(df: DataFrame, missing: Column) -> Column:
+    """0 for rows with a key. Rows without one match nothing; numbers made from their cells spread them over the join's tasks."""
+    cells = [F.col(f"`{c}`") for c, kind in df.dtypes if "map<" not in kind]
+    return F.when(missing, F.pmod(F.xxhash64(*cells), F.lit(_NULL_SPREAD)) + 1).otherwise(F.lit(0)).cast("int")
+
 
 def lookup(df: DataFrame, table: DataFrame, keys: Sequence[str], label: str = "lookup") -> DataFrame:
     """Left join with a derived table.
@@ -16,7 +25,9 @@ def lookup(df: DataFrame, table: DataFrame, keys: Sequence[str], label: str = "l
     The table is written first, so the optimizer knows its size: below the broadcast threshold the rows of ``df`` stay
     where they are, above it the join shuffles, and AQE splits the partitions of hot keys.
     """
-    return df.join(durable(table, label), list(keys), "left")
+    missing = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
+    rows, saved = df.withColumn("__spread", _spread(df, missing)), durable(table, label).withColumn("__spread", F.lit(0))
+    return rows.join(saved, [*keys, "__spread"], "left").drop("__spread")
 
 
 def lookup_columns(df: DataFrame, table: DataFrame, columns: Sequence[str], value: str, suffix: str) -> DataFrame:
@@ -24,5 +35,8 @@ def lookup_columns(df: DataFrame, table: DataFrame, columns: Sequence[str], valu
     saved = durable(table, "levels")
     for c in columns:
         part = saved.where(F.col("column") == c).select(F.col("value").alias("__key"), F.col(value).alias(f"{c}{suffix}"))
-        df = df.join(part, F.col(c).cast("string") == F.col("__key"), "left").drop("__key")
+        key = F.col(c).cast("string")
+        rows = df.withColumn("__spread", _spread(df, key.isNull()))
+        part = part.withColumn("__none", F.lit(0))
+        df = rows.join(part, (key == F.col("__key")) & (F.col("__spread") == F.col("__none")), "left").drop("__key", "__spread", "__none")
     return df
