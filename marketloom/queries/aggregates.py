@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from marketloom.operators import aggregates as a
 from marketloom.plans import reports as r
 from marketloom.queries.fixtures import mean, money, on_sales, sales, table
-from marketloom.session import scratch_path
+from marketloom.session import durable, scratch_path
 
 TOTALS = f"""{money('total_amount')} AS total_sales, {money('quantity')} AS total_quantity,
   count(*) AS transaction_count, count(DISTINCT customer_id) AS unique_customers, {mean('total_amount')} AS avg_transaction"""
@@ -16,6 +16,7 @@ SHORT = f"""{money('total_amount')} AS total_sales, count(*) AS transaction_coun
 VIEW = f"""{money('total_amount')} AS total_sales, {mean('total_amount')} AS avg_transaction,
   count(total_amount) AS transaction_count, {money('quantity')} AS total_quantity, {mean('quantity')} AS avg_quantity,
   count(DISTINCT customer_id) AS unique_customers"""
+SUMMARIZED = [a.CUSTOMER, a.AMOUNT, a.DATE, "quantity", *a.PREFERENCES.values()]
 INT = lambda e, n: f"CAST({e} AS INTEGER) AS {n}"
 
 # The date range and category that the report queries are filtered by.
@@ -67,7 +68,7 @@ QUERIES = {
     "agg_daily_sales": lambda s, d: a.daily_view(sales(s, d)),
     "agg_category_sales": lambda s, d: a.category_view(sales(s, d)),
     "agg_customer_summary": lambda s, d: a.customer_view(sales(s, d)),
-    "customer_summary_ext": lambda s, d: a.customer_summary(sales(s, d)),
+    "customer_summary_ext": lambda s, d: a.customer_summary(durable(sales(s, d).select(*SUMMARIZED), "sales")),
     "aggregated_sales": _flat_aggregated,
     "report_filters": _report_filters,
     "kpis": lambda s, d: r.kpis(sales(s, d)),
