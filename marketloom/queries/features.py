@@ -25,12 +25,12 @@ def _slim(s, d, *columns):
 
 
 def _lag(groups):
-    return lambda s, d: f.lag_features(_slim(s, d, "customer_id", "total_amount"), "total_amount", ORDER, groups=groups)
+    return lambda s, d: f.lag_features(durable(_slim(s, d, "customer_id", "total_amount"), "sales"), "total_amount", ORDER, groups=groups)
 
 
 def _rolling(groups):
     def query(s, d):
-        slim = _slim(s, d, "customer_id", "total_amount")
+        slim = durable(_slim(s, d, "customer_id", "total_amount"), "sales")
         out = f.rolling_features(slim, "total_amount", ORDER, groups=groups, functions=FUNCTIONS)
         return _rounded(_rounded(out, "_std_"), "_mean_", "_sum_", places=6)
 
@@ -91,11 +91,11 @@ QUERIES = {
     ),
     "ratio_feature": _ratio,
     "rfm_features": lambda s, d: f.customer_features(
-        _slim(s, d, "customer_id", "invoice_no", "total_amount"), names=["recency", "frequency", "monetary"]
+        durable(_slim(s, d, "customer_id", "invoice_no", "total_amount"), "sales"), names=["recency", "frequency", "monetary"]
     ),
     "customer_stats": lambda s, d: _rounded(
         f.customer_features(
-            _slim(s, d, "customer_id", "invoice_no", "total_amount", "quantity"),
+            durable(_slim(s, d, "customer_id", "invoice_no", "total_amount", "quantity"), "sales"),
             names=[
                 "customer_avg_amount",
                 "customer_std_amount",
