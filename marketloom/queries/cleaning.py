@@ -99,10 +99,10 @@ QUERIES = {
     "impute_mean": _impute("mean"),
     "impute_mode": _impute_mode,
     "forward_fill": lambda s, d: forward_fill(
-        raw_sales(s, d).select("customer_id", "age", "category", "price", *KEYS), ["age", "category", "price"], KEYS
+        _stored(s, d, "customer_id", "age", "category", "price"), ["age", "category", "price"], KEYS
     ),
     "forward_fill_grouped": lambda s, d: forward_fill(
-        raw_sales(s, d).select("customer_id", "age", "category", "price", *KEYS),
+        _stored(s, d, "customer_id", "age", "category", "price"),
         ["age", "category", "price"],
         KEYS,
         ["customer_id"],
