@@ -42,10 +42,19 @@ def _scan_excel(s, d):
     return excel.scan_excel(s, folder, daily.schema).drop("source_file")
 
 
+PART_ROWS = 250_000
+
+
+def _parts(s, d, least):
+    """Parts of at most about PART_ROWS rows that the sales table is written in."""
+    return max(least, -(-table(s, d, "lineitem").count() // PART_ROWS))
+
+
 def _write_by_mall(s, d):
-    """A folder of CSV files, at least one for each part of the sales table."""
+    """A folder of CSV files, one for each part of the sales table; their number grows with it."""
     path = scratch_path(s, "parts")
-    sales(s, d).select(*RAW).repartition(6, "shopping_mall").write.option("header", True).csv(path)
+    parts = _parts(s, d, 6)
+    sales(s, d).select(*RAW).repartition(parts, "shopping_mall", "invoice_no").write.option("header", True).csv(path)
     return path
 
 
@@ -204,8 +213,9 @@ def _bucketed(s, d):
 def _changed_table(s, d):
     """Four versions of a stored table, and a frame over the first that was opened before the others were made."""
     path = scratch_path(s, "versions")
-    df = sales(s, d).select(*KEYS, "category", "payment_method", "quantity", "price")
-    snapshots.create_snapshot(df.repartitionByRange(8, "l_orderkey"), path)
+    # Stored, since the ranges are found in a sample first; their number grows with the table, as every change rewrites in them.
+    df = durable(sales(s, d).select(*KEYS, "category", "payment_method", "quantity", "price"), "sales")
+    snapshots.create_snapshot(df.repartitionByRange(_parts(s, d, 8), "l_orderkey"), path)
     first = snapshots.read_snapshot(s, path)
     snapshots.update_snapshot(s, path, F.col("l_orderkey") % 1000 == 7, {"quantity": 9, "price": F.col("price") * 2})
     changes = df.where("l_orderkey < 200").select(*KEYS, (F.col("quantity") + F.col("l_linenumber") % 2).alias("quantity"))
