@@ -1,13 +1,13 @@
 """Quality scores from pairwise preferences: a Bradley-Terry model on features of the whole text.
 
-P(a is preferred to b) = sigmoid(w . (x_a - x_b)). Every sampled document of label 1 is preferred to ``OPPONENTS`` sampled
-documents of label 0 (dealt round by round, so that all of them take part), and w minimises the logistic loss of these
-feature differences with a ridge term, by Newton steps. A document's raw score is w . x.
+P(a is preferred to b) = sigmoid(w . (x_a - x_b)). Every document of label 1 is preferred to ``OPPONENTS`` documents of
+label 0 (dealt round by round, so that all of them take part), and w minimises the logistic loss of these
+feature differences with a ridge term, by Newton steps, whose sums are added up in the tasks. A document's raw score is w . x.
 
 The cut is a quantile of scores: the share of label 0 among the labelled rows is the share of them that should fall below.
 The score in 0..1 is sigmoid(raw - cut + logit(0.7)), so the cut lies at 0.7.
 
-Fitting takes a bounded sample: about ``SAMPLE`` labelled rows of each label, drawn by a hash. Scoring reads every whole text.
+Fitting takes all labelled rows that have a document; the driver holds FEATURES numbers squared. Scoring reads every whole text.
 
 Defined results: missing and empty texts have the features of a text without words, and a score; labels other than 0 and 1
 teach nothing; equal label rows count once, a document with both labels is two rows, and of texts that repeat a
@@ -21,16 +21,19 @@ import math
 import re
 import zlib
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from marketloom.operators.ordering import row_numbers
+from marketloom.operators.quantiles import exact_quantiles
 from marketloom.session import durable
 
-SAMPLE, OPPONENTS, RIDGE, CUT = 4000, 8, 1.0, 0.7
+OPPONENTS, RIDGE, CUT = 8, 1.0, 0.7
+DIGITS = 9
 _LETTERS = re.compile(r"[^\W\d_]+")
 _UPPER = re.compile(r"[A-ZÀ-ÖØ-Þ]")
 _DIGIT = re.compile(r"\d")
@@ -98,36 +101,75 @@ class QualityModel:
         return 1 / (1 + np.exp(-np.clip(z, -60, 60)))
 
 
-def bradley_terry(good: np.ndarray, bad: np.ndarray, opponents: int = OPPONENTS, ridge: float = RIDGE) -> np.ndarray:
-    """Weights of the preference model from pairs (good, bad) of feature rows."""
+class Dealt:
+    """A stored table of feature rows (n, z), numbered from 0."""
+
+    def __init__(self, rows: DataFrame, size: int):
+        self.rows, self.size = rows, size
+
+    def __len__(self) -> int:
+        return self.size
+
+
+def bradley_terry(good, bad, opponents: int = OPPONENTS, ridge: float = RIDGE) -> np.ndarray:
+    """Weights of the preference model from pairs (good, bad) of feature rows: two arrays, or two ``Dealt`` tables."""
     rounds = max(opponents, -(-len(bad) // max(len(good), 1)))
+    if isinstance(good, Dealt):
+        pairs = durable(_pairs(good, bad, rounds), "pairs")
+        return _newton(lambda w: _added_up(pairs, w), FEATURES, ridge)
     i = np.arange(len(good) * rounds)
     diff = good[i % len(good)] - bad[(i + i // len(good)) % len(bad)]
-    w = np.zeros(diff.shape[1])
+    return _newton(lambda w: newton_sums(diff, w), diff.shape[1], ridge)
+
+
+def newton_sums(diff: np.ndarray, w: np.ndarray) -> np.ndarray:
+    """Gradient and second derivatives of the logistic loss over differences that should be positive, one under the other."""
+    p = 1 / (1 + np.exp(-np.clip(diff @ w, -60, 60)))  # of the pair as it is
+    return np.vstack([diff.T @ (p - 1), (diff * (p * (1 - p))[:, None]).T @ diff])
+
+
+def _newton(sums: Callable[[np.ndarray], np.ndarray], size: int, ridge: float) -> np.ndarray:
+    w = np.zeros(size)
     for _ in range(30):
-        p = 1 / (1 + np.exp(-np.clip(diff @ w, -60, 60)))  # of the pair as it is
-        grad = diff.T @ (p - 1) + ridge * w
-        hess = (diff * (p * (1 - p))[:, None]).T @ diff + ridge * np.eye(len(w))
-        step = np.linalg.solve(hess, grad)
+        found = sums(w)
+        step = np.linalg.solve(found[1:] + ridge * np.eye(size), found[0] + ridge * w)
         w -= step
         if np.abs(step).max() < 1e-8:
             break
     return w
 
 
-def fit(
-    docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", per_label: int = SAMPLE
-) -> QualityModel:
-    """Learns from ``labels`` (id, label) that have a document; pass only rows that may be learned from."""
+def _pairs(good: Dealt, bad: Dealt, rounds: int) -> DataFrame:
+    """(diff): every row of label 1 against its opponents of label 0, by their numbers."""
+    each = good.rows.select("z", "n", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(rounds - 1).cast("long"))).alias("r"))
+    each = each.select("z", ((F.col("r") * len(good) + F.col("n") + F.col("r")) % len(bad)).alias("n"))
+    against = bad.rows.select("n", F.col("z").alias("other"))
+    return each.join(against, "n").select(F.zip_with("z", "other", lambda a, b: a - b).alias("diff"))
+
+
+def _added_up(pairs: DataFrame, w: np.ndarray) -> np.ndarray:
+    """``newton_sums`` over a stored table of pairs; each task gives one matrix of FEATURES + 1 rows."""
+
+    def add(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        total = np.zeros((FEATURES + 1, FEATURES))
+        for batch in batches:
+            if len(batch):
+                total += newton_sums(np.stack(batch["diff"].to_numpy()), w)
+        yield pd.DataFrame({"place": np.arange(total.size), "v": total.ravel()})
+
+    cells = pairs.mapInPandas(add, "place int, v double").groupBy("place").agg(F.array_sort(F.collect_list("v")).alias("v"))
+    # Added in order of size, so that the sums don't depend on which task was first.
+    out = np.zeros((FEATURES + 1, FEATURES))
+    for r in cells.select("place", F.aggregate("v", F.lit(0.0), lambda a, b: a + b).alias("v")).collect():
+        out[r["place"] // FEATURES, r["place"] % FEATURES] = r["v"]
+    return out
+
+
+def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality") -> QualityModel:
+    """Learns from all ``labels`` (id, label) that have a document; pass only rows that may be learned from."""
+    none = QualityModel(np.zeros(FEATURES), np.ones(FEATURES), np.zeros(FEATURES), 0.0, False)
     rows = labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("label")).where("label in (0, 1) and id is not null")
-    rows = rows.distinct()
-    sizes = {r["label"]: r["n"] for r in rows.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
-    if len(sizes) < 2:
-        return QualityModel(np.zeros(FEATURES), np.ones(FEATURES), np.zeros(FEATURES), 0.0, False)
-    share = F.when(F.col("label") == 1, min(1.0, per_label / sizes[1])).otherwise(min(1.0, per_label / sizes[0]))
-    drawn = F.pmod(F.xxhash64("id", F.lit("sample")), F.lit(1 << 30)) / float(1 << 30)
-    sample = durable(rows.where(drawn < share), "labels")  # about 2 x ``per_label`` rows
-    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(F.broadcast(sample), "id")
+    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(rows.distinct(), "id")
     # One text for each label, however often documents repeat its identifier.
     texts = texts.groupBy("id", "label").agg(F.min("text").alias("text"))
 
@@ -135,25 +177,31 @@ def fit(
     def shape(batch: pd.Series) -> pd.Series:
         return pd.Series([features(t) for t in batch])
 
-    found = texts.select("label", shape("text").alias("x")).collect()
-    x, y = np.array([r["x"] for r in found]).reshape(len(found), FEATURES), np.array([r["label"] for r in found])
-    if len(set(y)) < 2:
-        return QualityModel(np.zeros(FEATURES), np.ones(FEATURES), np.zeros(FEATURES), 0.0, False)
-    order = np.lexsort((*x.T, y))  # the same whatever the order of arrival
-    x, y = x[order], y[order]
-    order = np.random.default_rng(0).permutation(len(y))
-    x, y = x[order], y[order]
-    scale = x.std(axis=0)
-    model = QualityModel(x.mean(axis=0), np.where(scale > 1e-9, scale, 1.0), np.zeros(FEATURES), 0.0)
-    z = np.clip((x - model.mean) / model.scale, -6, 6)
-    model.weights = bradley_terry(z[y == 1], z[y == 0])
-    # Each label counts with its share of all labelled rows.
-    raw = z @ model.weights
-    weight = np.where(y == 1, sizes[1] / (y == 1).sum(), sizes[0] / (y == 0).sum())
-    order = np.argsort(raw, kind="stable")
-    below = np.cumsum(weight[order]) / weight.sum()
-    at = min(int(np.searchsorted(below, sizes[0] / (sizes[0] + sizes[1]) - 1e-12)), len(raw) - 2)
-    model.cut = float((raw[order][at] + raw[order][at + 1]) / 2)
+    found = durable(texts.select("id", "label", shape("text").alias("x")), "shapes")
+    sizes = {r["label"]: r["n"] for r in found.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
+    if len(sizes) < 2:
+        return none
+    cells = [F.col("x")[i] for i in range(FEATURES)]
+    # Sums depend in their last bits on how the rows lie; what is learned is rounded, so that it does not.
+    row = found.agg(*[F.avg(c).alias(f"m{i}") for i, c in enumerate(cells)], *[F.stddev_pop(c).alias(f"s{i}") for i, c in enumerate(cells)]).first()
+    mean, scale = (np.array([row[f"{k}{i}"] for i in range(FEATURES)]).round(DIGITS) for k in "ms")
+    model = QualityModel(mean, np.where(scale > 1e-9, scale, 1.0), np.zeros(FEATURES), 0.0)
+
+    @F.pandas_udf("array<double>")
+    def scaled(batch: pd.Series) -> pd.Series:
+        return pd.Series([np.clip((x - model.mean) / model.scale, -6, 6) for x in batch])
+
+    dealt = found.select("id", "label", F.xxhash64("id").alias("deal"))
+    numbers = row_numbers(dealt, ["deal", "id"], "n", ["label"]).select("id", "label", (F.col("n") - 1).alias("n"))
+    found = durable(found.select("id", "label", scaled("x").alias("z")).join(numbers, ["id", "label"]), "scaled")
+    good, bad = (Dealt(found.where(F.col("label") == k).select("n", "z"), sizes[k]) for k in (1, 0))
+    model.weights = bradley_terry(good, bad).round(DIGITS)
+    weights = F.array(*[F.lit(float(w)) for w in model.weights])
+    raw = F.aggregate(F.zip_with("z", weights, lambda a, b: a * b), F.lit(0.0), lambda a, b: a + b)
+    raw = durable(found.select(raw.alias("raw")), "raw")
+    # Between the last row that should fall below and the next one, of all labelled rows.
+    last = sum(sizes.values()) - 1
+    model.cut = float(np.mean(exact_quantiles(raw, ["raw"], [(sizes[0] - 1) / last, sizes[0] / last])["raw"]))
     return model
 
 

@@ -135,3 +135,24 @@ def test_number_characters_are_no_letters(spark):
     model = language_id.fit(train)
     docs = docs_of(spark, [(i, t) for i, t in enumerate(texts[:5])])
     assert all(r.x.lang == "und" for r in docs.select(language_id.identify(docs, model).alias("x")).collect())
+
+
+def test_quality_learns_from_every_labelled_row(spark, monkeypatch):
+    good, bad = "Plain words in a calm sentence number {}.", "BUY!! NOW!! {} $$$ ### %%%"
+    docs = docs_of(spark, [(i, (good if i % 3 else bad).format(i)) for i in range(15_000)])
+    labels = docs.select("doc_id", (F.col("doc_id") % 3 != 0).cast("int").alias("quality"))
+    seen = []
+    learn = quality.bradley_terry
+    monkeypatch.setattr(quality, "bradley_terry", lambda a, b: seen.append((len(a), len(b))) or learn(a, b))
+    model = quality.fit(docs, labels)
+    assert seen == [(10_000, 5_000)]
+    out = docs.select("doc_id", quality.quality_scores(docs, model).alias("score")).where((F.col("score") >= 0.7) != (F.col("doc_id") % 3 != 0))
+    assert out.count() == 0
+
+
+def test_quality_pairs_of_tables_and_of_arrays_are_the_same(spark):
+    rng = np.random.default_rng(3)
+    good, bad = rng.normal(0.3, 1, (40, quality.FEATURES)), rng.normal(-0.3, 1, (25, quality.FEATURES))
+    table_of = lambda x: quality.Dealt(spark.createDataFrame([(i, r.tolist()) for i, r in enumerate(x)], "n long, z array<double>"), len(x))
+    for a, b in ((good, bad), (bad[:3], good)):
+        assert np.allclose(quality.bradley_terry(a, b), quality.bradley_terry(table_of(a), table_of(b)), atol=1e-9)
