@@ -11,7 +11,7 @@ Fitting takes all labelled rows that have a document; the driver holds FEATURES
 
 Defined results: missing and empty texts have the features of a text without words, and a score; labels other than 0 and 1
 teach nothing; equal label rows count once, a document with both labels is two rows, and of texts that repeat a
-labelled identifier the smallest is learned from; without rows of both labels every score is 0.5; repeated rows each get
+labelled identifier the smallest (of given features, the smallest) is learned from; without rows of both labels every score is 0.5; repeated rows each get
 a row; an empty table gives no rows. Labels, language, source and identifier are never features.
 """
 
@@ -95,9 +95,13 @@ class QualityModel:
         return np.clip((x - self.mean) / self.scale, -6, 6) @ self.weights
 
     def scores(self, texts) -> np.ndarray:
-        if not self.fitted or not len(texts):
-            return np.full(len(texts), 0.5)
-        z = self.raw(np.array([features(t) for t in texts])) - self.cut + math.log(CUT / (1 - CUT))
+        return self.scores_of([features(t) for t in texts] if self.fitted else texts)
+
+    def scores_of(self, shapes) -> np.ndarray:
+        """The scores of texts by their features."""
+        if not self.fitted or not len(shapes):
+            return np.full(len(shapes), 0.5)
+        z = self.raw(np.array(list(shapes))) - self.cut + math.log(CUT / (1 - CUT))
         return 1 / (1 + np.exp(-np.clip(z, -60, 60)))
 
 
@@ -165,19 +169,29 @@ def _added_up(pairs: DataFrame, w: np.ndarray) -> np.ndarray:
     return out
 
 
-def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality") -> QualityModel:
-    """Learns from all ``labels`` (id, label) that have a document; pass only rows that may be learned from."""
-    none = QualityModel(np.zeros(FEATURES), np.ones(FEATURES), np.zeros(FEATURES), 0.0, False)
-    rows = labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("label")).where("label in (0, 1) and id is not null")
-    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(rows.distinct(), "id")
-    # One text for each label, however often documents repeat its identifier.
-    texts = texts.groupBy("id", "label").agg(F.min("text").alias("text"))
+def shape(text_col: str) -> Column:
+    """``features`` as a column."""
 
     @F.pandas_udf("array<double>")
-    def shape(batch: pd.Series) -> pd.Series:
-        return pd.Series([features(t) for t in batch])
+    def of(texts: pd.Series) -> pd.Series:
+        return pd.Series([features(t) for t in texts])
+
+    return of(F.col(text_col))
 
-    found = durable(texts.select("id", "label", shape("text").alias("x")), "shapes")
+
+def fit(
+    docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", shape_col: str | None = None
+) -> QualityModel:
+    """Learns from all ``labels`` (id, label) that have a document; pass only rows that may be learned from.
+
+    ``shape_col`` names a column of ``docs`` that holds the texts' features, if they are known; texts are not read then.
+    """
+    none = QualityModel(np.zeros(FEATURES), np.ones(FEATURES), np.zeros(FEATURES), 0.0, False)
+    rows = labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("label")).where("label in (0, 1) and id is not null")
+    own = docs.select(F.col(id_col).alias("id"), F.col(shape_col or text_col).alias("x")).join(rows.distinct(), "id")
+    # One text for each label, however often documents repeat its identifier.
+    own = own.groupBy("id", "label").agg(F.min("x").alias("x"))
+    found = durable(own.withColumn("x", F.col("x") if shape_col else shape("x")), "learned")
     sizes = {r["label"]: r["n"] for r in found.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
     if len(sizes) < 2:
         return none
@@ -205,13 +219,13 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     return model
 
 
-def quality_scores(docs: DataFrame, model: QualityModel, text_col: str = "text") -> Column:
-    """The score of every text."""
+def quality_scores(docs: DataFrame, model: QualityModel, text_col: str = "text", shape_col: str | None = None) -> Column:
+    """The score of every text, or of the features in ``shape_col``."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     @F.pandas_udf("double")
     def of(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for batch in texts:
-            yield pd.Series(shared.value.scores(batch))
+            yield pd.Series(shared.value.scores_of(batch) if shape_col else shared.value.scores(batch))
 
-    return of(F.col(text_col))
+    return of(F.col(shape_col or text_col))
